@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from corpusloom.llm.decontamination import SQL as DECONTAMINATION_SQL, op2_decontamination
 from corpusloom.llm.mixing import op10_mixing
 from corpusloom.llm.sharding import SQL as SHARDING_SQL, op3_sharding
+from corpusloom.llm.warc import SQL as WARC_SQL, op7_warc
 
-QUERIES = {"op3_sharding": op3_sharding, "op10_mixing": op10_mixing}
-ORACLES = {"op3_sharding": SHARDING_SQL}
+QUERIES = {"op2_decontamination": op2_decontamination, "op3_sharding": op3_sharding, "op7_warc": op7_warc, "op10_mixing": op10_mixing}
+ORACLES = {"op2_decontamination": DECONTAMINATION_SQL, "op3_sharding": SHARDING_SQL, "op7_warc": WARC_SQL}
