@@ -57,7 +57,8 @@ def chunks(rows: DataFrame, chunk: int = CHUNK, payload: str = "html", key: str
 
 
 def archive(table: DataFrame, key: str = "page_id", url: str = "url") -> str:
-    """Write the chunk rows as WARC files, one record a row, and return their folder."""
+    """Write the chunk rows as WARC files, one record a row, and return their folder. A file is one gzip stream, read and
+    written as such; it holds what one task has, so input splits bound its size."""
     revisit = F.col("refers_to").isNotNull()
     kind = F.when(revisit, "revisit").when(F.col("chunk") > 0, "continuation").otherwise("response")
     line = lambda name, value: F.concat(F.lit(name + ": "), value.cast("string"), F.lit("\r\n"))
@@ -73,13 +74,13 @@ def archive(table: DataFrame, key: str = "page_id", url: str = "url") -> str:
         maybe(several, F.concat(line("WARC-Segment-Number", F.col("chunk") + 1), maybe(F.col("chunk") > 0, line("WARC-Segment-Origin-ID", F.concat(F.lit("<"), F.col("record_id"), F.lit(">")))), maybe(F.col("chunk") == F.col("n_chunks") - 1, line("WARC-Segment-Total-Length", F.col("payload_bytes"))))),
         line("Content-Type", F.lit("text/html; charset=utf-8")), line("Content-Length", F.octet_length("data")), F.lit("\r\n"))
     folder = new_folder(table.sparkSession, "warc")
-    table.select(F.concat(head, F.col("data"), F.lit("\r\n")).alias("value")).write.option("lineSep", "\r\n").text(folder)
+    table.select(F.concat(head, F.col("data"), F.lit("\r\n")).alias("value")).write.option("lineSep", "\r\n").option("compression", "gzip").text(folder)
     return folder
 
 
 def records(spark, folder: str) -> DataFrame:
     """Read WARC files back: kind, record_id (of the first segment), chunk, page_id, payload_bytes, payload_digest,
-    refers_to, url and data. Files are split at record ends, so one large file is read by many tasks."""
+    refers_to, url and data. Plain files are split at record ends and read by many tasks, gzip files by one each."""
     raw = spark.read.option("lineSep", END + START).text(folder)
     raw = raw.select(F.when(F.startswith("value", F.lit(START)), F.substring("value", F.lit(len(START) + 1), F.lit(2147483647))).otherwise(F.col("value")).alias("value"))
     cut = F.locate(END, F.col("value"))
