@@ -5,10 +5,10 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def fold_accents(s: pd.Series) -> pd.Series:
     """Canonical decomposition without combining marks (FN11)."""
     return s.map(lambda t: None if t is None else "".join(ch for ch in unicodedata.normalize("NFD", t) if unicodedata.category(ch) != "Mn"))

@@ -12,6 +12,10 @@ def needles(entries: DataFrame, entry: str = "entry") -> DataFrame:
     return entries.select(entry, F.ltrim(F.col(entry), F.lit("$")).alias("needle")).where("needle <> ''")
 
 
+def _any(fragments: list[str], text: Column) -> Column:
+    return F.exists(F.array(*[F.lit(x) for x in fragments]), lambda f: F.coalesce(F.contains(text, f), F.lit(False)))
+
+
 def flagged(df: DataFrame, entries: DataFrame, haystacks: list[Column | str], entry: str = "entry", name: str = "affiliated") -> DataFrame:
     """Is any fragment part of any haystack (FI1, JN5)?
 
@@ -21,7 +25,7 @@ def flagged(df: DataFrame, entries: DataFrame, haystacks: list[Column | str], en
     found = [r["needle"] for r in needles(entries, entry).select("needle").distinct().limit(16 * MOST_LITERALS + 1).collect()]
     if len(found) > 16 * MOST_LITERALS:
         raise ValueError(f"a registry of more than {16 * MOST_LITERALS} fragments: join on tokens instead")
-    tests = [F.exists(F.array(*[F.lit(x) for x in found[i : i + MOST_LITERALS]]), lambda f, h=h: F.coalesce(F.contains(F.col(h) if isinstance(h, str) else h, f), F.lit(False))) for i in range(0, len(found), MOST_LITERALS) for h in haystacks]
+    tests = [_any(found[i : i + MOST_LITERALS], F.col(h) if isinstance(h, str) else h) for i in range(0, len(found), MOST_LITERALS) for h in haystacks]
     test = F.lit(False)
     for t in tests:
         test = test | t

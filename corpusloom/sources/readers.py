@@ -164,7 +164,7 @@ def html_listing(spark: SparkSession, path: str, base: str, journal_name: str, j
     it; the journal comes from the cells of the table inside ``col-xs-8``. Relative links are made absolute, spaces encoded;
     of equal URLs the first stays. Pages are read whole, one row each.
     """
-    pages = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("html"))
+    pages = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("html"))
     cells_ = F.regexp_extract_all(F.regexp_extract("html", r'(?s)class="col-xs-8".*?<tbody>(.*?)</tbody>', 1), F.lit(r"(?s)<td[^>]*>(.*?)</td>"), 1)
     journal = F.regexp_replace(F.replace(F.array_join(cells_, "-"), F.lit(journal_name), F.lit(journal_code)), r"\s+", "-")
     entry = r'(?s)<(?:\w+)[^>]*class="question col-xs-11"[^>]*>(?:(?!class="question col-xs-11").)*'
