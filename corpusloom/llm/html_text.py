@@ -16,6 +16,7 @@ from corpusloom.llm.common import load, stored
 CONTENT = 0.9
 LEAST = 0.3
 LEAST_PAGES = 4
+MOST_HOSTS, MOST_CHARS = 20_000, 4_000_000
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img nobr".split())
@@ -128,38 +129,46 @@ def parse(text: str) -> tuple[list[tuple[str, str, bool, bool]], dict[str, str]]
     return blocks, styles
 
 
-def _parsing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _measuring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks by path and hash of their text, and styles by path and hash: no text leaves the worker."""
     digest = xxhash.xxh64_intdigest
     signed = lambda v: v - (1 << 64) if v >= 1 << 63 else v
     for batch in batches:
-        at = batch.schema.get_field_index("html")
-        paths, texts, features, mains, noises, cuts, nodes, sigs, ends = [], [], [], [], [], [0], [], [], [0]
-        for doc in batch.column(at):
+        paths, features, cuts, nodes, sigs, ends = [], [], [0], [], [], [0]
+        for doc in batch.column(1):
             doc = doc.as_py()
             blocks, styles = parse(doc) if doc else ((), {})
-            for p, t, m, n in blocks:
+            for p, f in dict.fromkeys((p, signed(digest(t))) for p, t, _, _ in blocks):
                 paths.append(p)
-                texts.append(None if n else t)
-                features.append(signed(digest(t)))
-                mains.append(m)
-                noises.append(n)
+                features.append(f)
             cuts.append(len(paths))
-            for p, s in styles.items():
+            for p, x in styles.items():
                 nodes.append(p)
-                sigs.append(signed(digest(s)))
+                sigs.append(signed(digest(x)))
             ends.append(len(nodes))
-        block = pa.StructArray.from_arrays([pa.array(paths, pa.string()), pa.array(texts, pa.string()), pa.array(features, pa.int64()), pa.array(mains, pa.bool_()), pa.array(noises, pa.bool_())], ["path", "text", "feature", "main", "noise"])
+        block = pa.StructArray.from_arrays([pa.array(paths, pa.string()), pa.array(features, pa.int64())], ["path", "feature"])
         style = pa.StructArray.from_arrays([pa.array(nodes, pa.string()), pa.array(sigs, pa.int64())], ["path", "sig"])
-        rest = [i for i in range(batch.num_columns) if i != at]
-        yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in rest), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), block), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), style)], [*(batch.schema.names[i] for i in rest), "blocks", "styles"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), block), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), style)], ["host", "blocks", "styles"])
 
 
-def parsed(pages: DataFrame) -> DataFrame:
-    """``pages`` with host, blocks and styles in place of html."""
-    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
-    pages = pages.withColumn("host", host)
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema.fields if f.name != "html")
-    return pages.mapInArrow(_parsing, f"{kept}, blocks array<struct<path:string,text:string,feature:long,main:boolean,noise:boolean>>, styles array<struct<path:string,sig:long>>")
+def _extracting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        at, low_at = batch.schema.get_field_index("html"), batch.schema.get_field_index("low")
+        texts = []
+        for doc, low in zip(batch.column(at), batch.column(low_at)):
+            doc, low = doc.as_py(), frozenset(low.as_py() or ())
+            texts.append("\n\n".join(t for p, t, main, noise in parse(doc)[0] if not noise and (main or p not in low)) if doc else "")
+        rest = [i for i in range(batch.num_columns) if i not in (at, low_at)]
+        yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in rest), pa.array(texts, pa.string())], [*(batch.schema.names[i] for i in rest), "text"])
+
+
+def host_of(url: str = "url"):
+    return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
+
+
+def measured(pages: DataFrame) -> DataFrame:
+    """host, blocks (path, hash of the text; once a page) and styles (path, hash) of each page."""
+    return pages.select(host_of().alias("host"), "html").mapInArrow(_measuring, "host string, blocks array<struct<path:string,feature:long>>, styles array<struct<path:string,sig:long>>")
 
 
 def style_tree(rows: DataFrame) -> DataFrame:
@@ -171,8 +180,7 @@ def style_tree(rows: DataFrame) -> DataFrame:
     """
     styles = rows.select("host", F.explode("styles").alias("s")).groupBy("host", F.col("s.path").alias("path"), F.col("s.sig").alias("sig")).agg(F.count("*").alias("c"))
     nodes = styles.groupBy("host", "path").agg(F.sum("c").alias("pages"), F.sum(F.col("c") * F.log("c")).alias("clogc"))
-    once = rows.select("host", F.explode(F.array_distinct(F.transform("blocks", lambda b: F.struct(b["path"].alias("path"), b["feature"].alias("feature"))))).alias("b"))
-    texts = once.groupBy("host", F.col("b.path").alias("path"), F.col("b.feature").alias("feature")).agg(F.count("*").alias("c"))
+    texts = rows.select("host", F.explode("blocks").alias("b")).groupBy("host", F.col("b.path").alias("path"), F.col("b.feature").alias("feature")).agg(F.count("*").alias("c"))
     texts = texts.groupBy("host", "path").agg(F.avg(F.log("c")).alias("logc"))
     tree = nodes.join(texts, ["host", "path"])
     base = F.log("pages")
@@ -190,14 +198,15 @@ def extract(pages: DataFrame, least: float = LEAST, least_pages: int = LEAST_PAG
     has at least ``least``; where a page has such a part, the rest of it has none. Blocks keep page order, joined by an empty line.
 
     Null or empty html: empty text. A null or relative url: the pages of no host are one site. Repeated rows and ids keep a row
-    each. Unclosed and crossed elements are closed where the next block begins. Other columns aren't read.
+    each. Pages are parsed twice, once for the tree and once for their text, so no text is stored in between. Unclosed and crossed elements are closed where the next block begins. Other columns aren't read.
     """
-    rows = stored(parsed(pages.select("page_id", "url", "html")), "parsed")
-    low = style_tree(rows).where((F.col("pages") >= least_pages) & (F.col("importance") < least)).groupBy(F.col("host").alias("_host")).agg(F.collect_set("path").alias("low"))
-    out = rows.join(low, F.col("host") == F.col("_host"), "left")
-    kept = F.filter("blocks", lambda b: ~b["noise"] & (b["main"] | ~F.coalesce(F.array_contains("low", b["path"]), F.lit(False))))
-    text = F.coalesce(F.array_join(F.transform(kept, lambda b: b["text"]), "\n\n"), F.lit(""))
-    return out.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    low = style_tree(stored(measured(pages), "measured")).where((F.col("pages") >= least_pages) & (F.col("importance") < least))
+    low = stored(low.groupBy(F.col("host").alias("_host")).agg(F.collect_set("path").alias("low")), "branches")
+    size = low.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.aggregate("low", F.lit(0), lambda a, x: a + F.length(x))), F.lit(0)).alias("chars")).first()
+    few = size["n"] <= MOST_HOSTS and size["chars"] <= MOST_CHARS  # measured; beyond, pages and branches are shuffled by host
+    rows = pages.select("page_id", "url", "html").join(F.broadcast(low) if few else low, host_of() == F.col("_host"), "left").select("page_id", "url", "html", "low")
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name not in ("html", "low"))
+    return rows.mapInArrow(_extracting, f"{kept}, text string").withColumn("n_chars", F.length("text").cast("long"))
 
 
 def op5_html(spark, sf_dir: str) -> DataFrame:
