@@ -215,18 +215,18 @@ def links(fps: DataFrame, most: int = MOST_BITS, limit: int = BUCKET) -> DataFra
 
 
 def classes(docs: DataFrame, most: int = MOST_BITS) -> DataFrame:
-    """``docs`` (with doc_id and text) without text, with fp and component_id.
+    """``docs`` (with doc_id and text) without text, with fp, class_fp (the class by its smallest fingerprint) and component_id.
 
     Copies collapse into one fingerprint with map-side combine before anything is compared. Null and wordless texts have the
     fingerprint 0 and are linked like others; a null doc_id takes part but gives no component its name, unless all ids of a
     component are null. Repeated ids keep a row each. Empty in, empty out.
     """
-    marked = stored(fingerprints(docs), "fingerprints")
+    marked = stored(fingerprints(docs.drop("class_fp", "component_id")), "fingerprints")
     nodes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "nodes")
     roots = connected_components(links(nodes.select("fp"), most))
     named = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "doc_id", F.coalesce("root", "fp").alias("root"))
     name = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    known = named.select("fp", "root").join(name, "root").select(F.col("fp").alias("_fp"), "component_id")
+    known = named.select("fp", "root").join(name, "root").select(F.col("fp").alias("_fp"), F.col("root").alias("class_fp"), "component_id")
     return marked.join(known, marked.fp == known._fp).drop("_fp")
 
 
@@ -241,7 +241,7 @@ def deduplicated(docs: DataFrame, most: int = MOST_BITS) -> DataFrame:
     names = docs.columns
     keyed = docs.withColumn("_h", F.xxhash64("text"))
     kept = classes(docs.select("doc_id", "text", F.xxhash64("text").alias("h")), most)
-    kept = kept.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_id"), F.col("component_id").alias("_c")).agg(F.min("h").alias("h"))
+    kept = kept.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_id"), "class_fp").agg(F.min("h").alias("h"))
     out = keyed.join(kept, keyed.doc_id.eqNullSafe(kept._id) & (keyed._h == kept.h), "inner")
     first = F.row_number().over(W.partitionBy("doc_id", "_h").orderBy(F.lit(1)))
     return out.withColumn("_first", first).where("_first = 1").select(*names)
