@@ -40,17 +40,67 @@ def spelt(offsets: np.ndarray, data: np.ndarray):
     return number, row, known, buckets, np.searchsorted(owner[order], np.arange(len(known) + 1))
 
 
-def telling(codes: np.ndarray, texts: np.ndarray, label: np.ndarray, most: int, least: int) -> np.ndarray:
-    """Of the codes in ``least`` texts or more, the ``most`` whose presence differs most between the labels (chi-square), sorted."""
-    found, number = np.unique(codes, return_inverse=True)
-    pairs = np.unique(np.stack([number, texts], axis=1), axis=0)
-    ones = np.bincount(pairs[:, 0], label[pairs[:, 1]], len(found)) / max(label.sum(), 1)
-    zeros = np.bincount(pairs[:, 0], 1 - label[pairs[:, 1]], len(found)) / max((1 - label).sum(), 1)
-    n = np.bincount(pairs[:, 0], minlength=len(found))
-    share = n / len(label)
-    worth = np.where(n >= least, (ones - zeros) ** 2 / (share * (1 - share) + 1e-3), -1)
-    keep = np.argsort(-worth, kind="stable")[:most]
-    return np.sort(found[keep[worth[keep] >= 0]])
+def worth(ones: np.ndarray, zeros: np.ndarray, label: np.ndarray, most: int, least: int) -> np.ndarray:
+    """Of the features in ``least`` texts or more, the places of the ``most`` whose presence differs most between the labels
+    (chi-square); ``ones`` and ``zeros`` are the texts of each label that have a feature."""
+    n, share = ones + zeros, (ones + zeros) / len(label)
+    apart = (ones / max(label.sum(), 1) - zeros / max((1 - label).sum(), 1)) ** 2 / (share * (1 - share) + 1e-3)
+    apart = np.where(n >= least, apart, -1)
+    keep = np.argsort(-apart, kind="stable")[:most]
+    return keep[apart[keep] >= 0]
+
+
+class Sample:
+    """Texts as numbers of distinct words, read in pieces so that no large array of bytes stands in memory."""
+
+    def __init__(self, texts: list[bytes], piece: int = 1 << 19):
+        codes, spellings, numbers, rows, at = [], [], [], [], 0
+        seen: dict[int, int] = {}
+        while at < len(texts):
+            size, end = 0, at
+            while end < len(texts) and (end == at or size + len(texts[end]) <= piece):
+                size += len(texts[end])
+                end += 1
+            some = texts[at:end]
+            offsets = np.concatenate([[0], np.cumsum([len(t) for t in some])]).astype(np.int64)
+            number, row, known, grams, starts = spelt(offsets, np.frombuffer(b"".join(some), np.uint8))
+            place = np.empty(len(known), np.int64)
+            for i, code in enumerate(known.tolist()):
+                p = seen.get(code)
+                if p is None:
+                    p = seen[code] = len(codes)
+                    codes.append(code)
+                    spellings.append(grams[starts[i] : starts[i + 1]].copy())
+                place[i] = p
+            numbers.append(place[number].astype(np.int32))
+            rows.append((row + at).astype(np.int32))
+            at = end
+        self.n = len(texts)
+        self.words = np.array(codes, np.uint64)
+        self.starts = np.concatenate([[0], np.cumsum([len(g) for g in spellings])]).astype(np.int64) if spellings else np.zeros(1, np.int64)
+        self.grams = np.concatenate(spellings) if spellings else np.zeros(0, np.uint64)
+        self.number = np.concatenate(numbers) if numbers else np.zeros(0, np.int32)
+        self.row = np.concatenate(rows) if rows else np.zeros(0, np.int32)
+
+    def vocabularies(self, label: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of the telling words and n-grams, sorted."""
+        pairs = np.unique(self.number.astype(np.int64) * self.n + self.row)
+        word, row = pairs // self.n, pairs % self.n
+        ones, zeros = np.bincount(word, label[row], len(self.words)), np.bincount(word, 1 - label[row], len(self.words))
+        known_words = np.sort(self.words[worth(ones, zeros, label, WORDS, least)])
+        found, gram = np.unique(self.grams, return_inverse=True)
+        gram, ones, zeros = gram.astype(np.int32), np.zeros(len(found)), np.zeros(len(found))
+        order = np.argsort(row, kind="stable")
+        word, row = word[order], row[order]
+        for first in range(0, self.n, 100):
+            a, b = np.searchsorted(row, [first, first + 100])
+            size = np.diff(self.starts)[word[a:b]]
+            ids = gram[np.repeat(self.starts[word[a:b]] - (np.cumsum(size) - size), size) + np.arange(size.sum())].astype(np.int64)
+            once = np.unique(ids * 100 + np.repeat(row[a:b] - first, size))
+            y = label[first + once % 100]
+            ones += np.bincount(once // 100, y, len(found))
+            zeros += np.bincount(once // 100, 1 - y, len(found))
+        return known_words, np.sort(found[worth(ones, zeros, label, GRAMS, least)])
 
 
 def windows(row: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
@@ -243,19 +293,15 @@ def trained(texts: list[bytes], labels: list[int], rounds: tuple[int, int] = (1,
     label = np.array(labels, np.float32)
     if not len(label) or label.min() == label.max():
         return None
-    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-    number, row, word_codes, gram_codes, starts = spelt(offsets, np.frombuffer(b"".join(texts), np.uint8))
-    at, own = windows(row, len(texts))
+    sample = Sample(texts)
+    at, own = windows(sample.row.astype(np.int64), len(texts))
     if not len(at):
         return None
-    at = np.where(at == PAD, PAD, number[np.maximum(at, 0)])
-    least = min(LEAST_TEXTS, 2 + len(texts) // 100)
-    pairs = np.unique(np.stack([number, row], axis=1), axis=0)
-    size = np.diff(starts)[pairs[:, 0]]
-    of_pairs = gram_codes[np.repeat(starts[pairs[:, 0]] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
-    known = telling(word_codes[pairs[:, 0]], pairs[:, 1], label, WORDS, least), telling(of_pairs, np.repeat(pairs[:, 1], size), label, GRAMS, least)
+    at = np.where(at == PAD, PAD, sample.number[np.maximum(at, 0)]).astype(np.int32)
+    known = sample.vocabularies(label, min(LEAST_TEXTS, 2 + len(texts) // 100))
     net = Network(*known, seed)
-    bucket, grams, starts = net.numbered(word_codes, gram_codes, starts)
+    bucket, grams, starts = net.numbered(sample.words, sample.grams, sample.starts)
+    del sample
     r = np.random.default_rng(seed)
     if len(at) > most_windows:  # the bound of the sample
         some = np.sort(r.permutation(len(at))[:most_windows])
