@@ -248,3 +248,28 @@ def import_links(incoming: DataFrame, table: DataFrame, settings: Settings | Non
 
 def named_by_url(df: DataFrame) -> DataFrame:
     return df.withColumn("name", url_basename("url"))
+
+
+def classified_with_cache(queue: DataFrame, classify, folder: str, columns: str = "journal string, paper string, subject string, category string, reasoning string") -> DataFrame:
+    """As ``classified_by``, but classes are kept in a folder by a hash of journal and paper: only rows that it lacks are classified,
+    and their classes are appended before the result is read (SC27)."""
+    from corpusloom.sources.readers import exists
+
+    spark = queue.sparkSession
+    key = F.xxhash64("journal", "paper")
+    wanted = queue.where("subject is null").withColumn("cache_key", key)
+    todo = wanted
+    if exists(spark, folder):
+        todo = wanted.join(spark.read.parquet(folder).select("cache_key").distinct(), "cache_key", "left_anti")
+    todo.drop("cache_key").mapInPandas(classify, columns).withColumn("cache_key", key).write.mode("append").parquet(folder)
+    kept = spark.read.parquet(folder)
+    return kept.join(wanted.select("cache_key").distinct(), "cache_key", "left_semi").dropDuplicates(["cache_key"]).drop("cache_key")
+
+
+def report_rows(df: DataFrame, journal_name: str, journal_code: str) -> DataFrame:
+    """Cells of the printed report: number, short journal, subject, category, linked paper, author, whole size (PR38, WN8)."""
+    bar = lambda c: F.replace(F.coalesce(c, F.lit("")), F.lit("|"), F.lit("-"))
+    size = F.coalesce(F.floor(F.col("size_in_kb").try_cast("double")).cast("bigint").cast("string"), F.lit(""))
+    link = F.concat(F.lit("["), bar(F.col("paper")), F.lit("]("), F.replace(F.coalesce("url", F.lit("")), F.lit(" "), F.lit("%20")), F.lit(")"))
+    place = F.row_number().over(W.orderBy("journal", "paper"))
+    return df.select(place.alias("row_number"), bar(F.replace("journal", F.lit(journal_name), F.lit(journal_code))).alias("journal"), bar(F.col("subject")).alias("subject"), bar(F.col("category")).alias("category"), link.alias("paper"), bar(F.col("author")).alias("author"), size.alias("size"))

@@ -167,8 +167,8 @@ def html_listing(spark: SparkSession, path: str, base: str, journal_name: str, j
     pages = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("html"))
     cells_ = F.regexp_extract_all(F.regexp_extract("html", r'(?s)class="col-xs-8".*?<tbody>(.*?)</tbody>', 1), F.lit(r"(?s)<td[^>]*>(.*?)</td>"), 1)
     journal = F.regexp_replace(F.replace(F.array_join(cells_, "-"), F.lit(journal_name), F.lit(journal_code)), r"\s+", "-")
-    entry = r'(?s)<(?:\w+)[^>]*class="question col-xs-11"[^>]*>(?:(?!class="question col-xs-11").)*'
-    entries = pages.select("file", journal.alias("journal"), F.posexplode(F.regexp_extract_all("html", F.lit(f"({entry})"), 1)).alias("at", "part"))
+    parts = F.split("html", r'(?=<\w+[^>]*class="question col-xs-11")')
+    entries = pages.select("file", journal.alias("journal"), F.posexplode(parts).alias("at", "part")).where(F.contains("part", F.lit('class="question col-xs-11"')))
     href = F.regexp_extract("part", r'(?s)<a[^>]*href="([^"]*)"[^>]*>(.*?)</a>', 1)
     paper = F.regexp_extract("part", r'(?s)<a[^>]*href="([^"]*)"[^>]*>(.*?)</a>', 2)
     author = F.regexp_extract("part", r"(?s)</a>.*?</\w+>\s*<(\w+)[^>]*>.*?</\1>\s*<(\w+)[^>]*>(.*?)</\2>", 3)

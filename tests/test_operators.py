@@ -204,3 +204,20 @@ def test_small_readers(spark, tmp_path):
     assert [tuple(r) for r in readers.enrichment(spark, path, ["journal"]).collect()] == [("k", "b", "2")]
     assert readers.enrichment(spark, str(tmp_path / "no.tsv"), ["journal"]).count() == 0
     assert [r["line"] for r in sinks.markdown_rows(rows, ["subject", "category"], ["subject"]).collect()] == ["| a | 1 |", "| b | 2 |"]
+
+
+def test_class_cache_and_report(spark, tmp_path):
+    q = spark.createDataFrame([("J", "one", None), ("J", "two", None), ("J", "known", "S")], "journal string, paper string, subject string")
+    folder, log = str(tmp_path / "cache"), tmp_path / "log"
+
+    def classify(frames):
+        for f in frames:
+            with open(log, "a") as out:
+                out.write("".join(f"{p}\n" for p in f.paper))
+            yield f[["journal", "paper"]].assign(subject="X", category="Y", reasoning="z")
+
+    assert legacy.classified_with_cache(q.where("paper = 'one'"), classify, folder).count() == 1
+    assert {r["paper"] for r in legacy.classified_with_cache(q, classify, folder).collect()} == {"one", "two"}
+    assert sorted(log.read_text().split()) == ["one", "two"]
+    rows = spark.createDataFrame([("Journal of Record 1", "a|b", "s", None, "x y.pdf", "12.7", "me")], "journal string, paper string, subject string, category string, url string, size_in_kb string, author string")
+    assert tuple(legacy.report_rows(rows, "Journal of Record", "JRNL").first()) == (1, "JRNL 1", "s", "", "[a-b](x%20y.pdf)", "me", "12")
