@@ -61,11 +61,18 @@ def crc_of_id(col: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")))
 
 
+def spread_join(edges: DataFrame, low: DataFrame, salts: int = 8) -> DataFrame:
+    """``edges(a, b)`` with the one row of ``low(a, m)`` for each a: a hub's edges are dealt over salts, its row goes to each."""
+    salt = F.pmod(F.xxhash64("b"), F.lit(salts)).cast("int")
+    every = low.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
+    return edges.withColumn("_salt", salt).join(every, ["a", "_salt"]).drop("_salt")
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root) for each node of ``edges(a, b)``; root is the smallest node of its component.
 
     Alternating large-star and small-star rounds. A round is two aggregations with map-side combine and two joins whose
-    large keys Spark may split, so a hub with very many links neither meets in one task nor reaches the driver. Each round
+    keys are salted, so a hub with very many links neither meets in one task nor reaches the driver. Each round
     is stored; the rounds end when the set of edges no longer changes (count and order-free checksum).
     """
     mark = lambda d: d.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
@@ -76,10 +83,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             break
         both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = spread_join(both.where("b > a"), low).select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = stored(large.where("a <> b").distinct(), "large")
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.*")
+        small = spread_join(large, low).select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.*")
         now = stored(small.where("a <> b").distinct(), "small")
         after = mark(now)
         if after == before:
