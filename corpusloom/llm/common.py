@@ -56,6 +56,14 @@ def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def set_aside(df: DataFrame, *reserved: str) -> tuple[DataFrame, list]:
+    """``df`` with the columns renamed that an operator uses for itself (names differ in more than case), and the columns that
+    give the old frame back."""
+    taken = {r.lower() for r in reserved}
+    away = {c: f"_own_{c}" for c in df.columns if c.lower() in taken}
+    return df.withColumnsRenamed(away), [F.col(f"`{away.get(c, c)}`").alias(c) for c in df.columns]
+
+
 def crc_of_id(col: str = "doc_id"):
     """Unsigned CRC-32 of an identifier written as text; null counts as an empty text."""
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")))

@@ -16,7 +16,7 @@ NEAREST = 10
 SHARED = 2
 LIST = 256
 BLOCK = 256
-MOST_PIVOTS = 16384
+MOST_PIVOTS, MOST_NUMBERS = 16384, 4_000_000
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -106,7 +106,7 @@ def near_vectors(rows: DataFrame, least: float = LEAST, nearest: int = NEAREST,
     """vec_id, n_links, component_id, kept and embedding of each row of ``rows(vec_id, embedding)``.
 
     Equal vectors collapse first (map-side combine) and count with their number. A bounded sample of distinct vectors serves as
-    pivots (1 for about 25 vectors, 16,384 at most, taken by hash); every vector is described by its 10 nearest ones, is
+    pivots (1 for about 25 vectors, 16,384 or 4 million numbers at most, taken by hash); every vector is described by its 10 nearest ones, is
     listed under each, and is retrieved through lists by pivots shared. Lists are cut into blocks of 256 by hash, and each pair
     of blocks is a task's group, so no list meets in one task. Components are found by distributed rounds.
 
@@ -121,10 +121,9 @@ def near_vectors(rows: DataFrame, least: float = LEAST, nearest: int = NEAREST,
     reps = stored(reps.select(F.monotonically_increasing_id().alias("rid"), "n", F.col("embedding").alias("vec"), "vec_id"), "vectors")
     have = reps.agg(F.count("*").alias("n"), F.max(F.size("vec")).alias("dim")).first()
     if have["n"]:
-        want = int(min(MOST_PIVOTS, max(nearest, -(-have["n"] * nearest // LIST))))
+        want = int(min(MOST_PIVOTS, max(64, MOST_NUMBERS // have["dim"]), max(nearest, -(-have["n"] * nearest // LIST))))
         odds = min(1.0, 2.0 * want / have["n"] + 50 / have["n"])
         picked = reps.where(F.pmod(F.xxhash64("vec"), F.lit(1 << 30)) <= int(odds * (1 << 30))).select(F.xxhash64("vec").alias("h"), "vec").orderBy("h").limit(want)
-        table = np.zeros((0, have["dim"]))
         chosen = [r["vec"] for r in picked.collect()]  # at most MOST_PIVOTS
         table = np.zeros((len(chosen), have["dim"]))
         for i, v in enumerate(chosen):

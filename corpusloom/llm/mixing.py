@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from corpusloom.llm.common import load, stored, width
+from corpusloom.llm.common import load, set_aside, stored, width
 
 WEIGHTS = (1, 2, 3)
 MOST = 3.0
@@ -155,7 +155,7 @@ def mixed(docs: DataFrame, **how) -> DataFrame:
     """The mix itself: each row of ``docs``, with all its columns, as often as ``copies`` says."""
     plan = copies(docs, **how)
     plan = plan.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("h").alias("_h"), "copies").where("copies > 0")
-    names = docs.columns
+    docs, names = set_aside(docs, "_id", "_source", "_h", "_text_h", "copies", "_copy")
     keyed = docs.withColumn("_text_h", F.xxhash64("text"))
     out = keyed.join(plan, keyed.doc_id.eqNullSafe(plan._id) & keyed.source.eqNullSafe(plan._source) & (keyed._text_h == plan._h))
     return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*names)

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from corpusloom.llm.arrow import column_bytes
-from corpusloom.llm.common import connected_components, load, stored, width
+from corpusloom.llm.common import connected_components, load, set_aside, stored, width
 
 SHINGLE = 4
 MOST_BITS = 4
@@ -238,7 +238,7 @@ def op8_simhash(spark, sf_dir: str) -> DataFrame:
 
 def deduplicated(docs: DataFrame, most: int = MOST_BITS) -> DataFrame:
     """``docs`` with one row of each class: that with the smallest doc_id (of repeated rows with that id, one for each text)."""
-    names = docs.columns
+    docs, names = set_aside(docs, "_h", "h", "_id", "class_fp", "_first")
     keyed = docs.withColumn("_h", F.xxhash64("text"))
     kept = classes(docs.select("doc_id", "text", F.xxhash64("text").alias("h")), most)
     kept = kept.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_id"), "class_fp").agg(F.min("h").alias("h"))

@@ -7,7 +7,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from corpusloom.llm.arrow import column_bytes
 from corpusloom.llm.common import load

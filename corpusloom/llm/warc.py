@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.llm.arrow import column_bytes
-from corpusloom.llm.common import load, new_folder, stored, width
+from corpusloom.llm.common import load, new_folder, width
 
 CHUNK = 1 << 16
 LEAST = 100

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from corpusloom.llm.common import stored
 from tests.conftest import DATA
@@ -53,3 +54,16 @@ def test_stages_on_awkward_rows(spark):
         for name, stage in flow.STAGES:
             got = stored(stage(spark, got, DATA), name)
         assert got.count() >= (3 if rows else 0)
+
+
+def test_stages_keep_columns_of_clashing_names(spark):
+    extra = ["score", "Items", "spans", "n_words", "lang_pred", "_h", "h", "_id", "class_fp", "copies", "_copy", "_text_h", "fp", "component_id", "size", "u", "bucket", "open", "n", "shard"]
+    docs = spark.createDataFrame(ROWS, DOCS)
+    for i, name in enumerate(extra):
+        docs = docs.withColumn(name, F.lit(i))
+    got = docs
+    for name, stage in flow.STAGES[:-1]:
+        got = stored(stage(spark, got, DATA), name)
+        assert got.columns == docs.columns, name
+        assert all(tuple(r[c] for c in extra) == tuple(range(len(extra))) for r in got.collect()), name
+    assert flow.STAGES[-1][1](spark, got, DATA).count() == got.count()
