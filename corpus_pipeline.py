@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.llm import decontamination, language_id, mixing, sharding, simhash
-from corpusloom.llm.common import load, stored
+from corpusloom.llm.common import load, set_aside, stored
 
 
 #: A text whose n-grams lie further than this from every profile is in none of the languages. The lowest score of any
@@ -18,7 +18,7 @@ LEAST_SCORE = 0.1
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID learns from the rows that name a language and rejects documents in no known language: null texts, texts
     without a letter, and texts unlike all profiles. Profiles come from ``docs`` itself; the language that a row names isn't compared with the prediction."""
-    names = docs.columns
+    docs, names = set_aside(docs, "lang_pred", "score")
     said = language_id.identify(docs, language_id.fit(docs.select("text", "lang")))
     return said.where((said.lang_pred != "und") & (said.score >= LEAST_SCORE)).select(*names)
 
@@ -30,7 +30,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def no_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Decontamination drops each document in which a window of 10 words of a benchmark text occurs."""
-    names = docs.columns
+    docs, names = set_aside(docs, "n_words", "spans", "items")
     return decontamination.hits(docs, load(spark, sf_dir, "benchmark"), keep_text=True).where("size(spans) = 0").select(*names)
 
 
