@@ -48,9 +48,8 @@ def titles_by_group(df: DataFrame, group: str, title: str) -> DataFrame:
 
 def shared_keys(df: DataFrame, key: str, member: str, name: str = "members") -> DataFrame:
     """Keys that more than one member has, with the members sorted (AG6, CK12)."""
-    pairs = df.where(F.coalesce(F.col(key), F.lit("")) != "").select(key, member).distinct()
-    many = pairs.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
-    return pairs.join(many, key).groupBy(key).agg(F.first("n").alias("n"), F.sort_array(F.collect_list(member)).alias(name))
+    groups = df.where(F.coalesce(F.col(key), F.lit("")) != "").groupBy(key).agg(F.sort_array(F.collect_set(member)).alias(name))
+    return groups.where(F.size(name) > 1).select(key, F.size(name).cast("bigint").alias("n"), name)
 
 
 def cross_origin(df: DataFrame, key: str, origin: str) -> DataFrame:

@@ -38,18 +38,45 @@ def keep_filled(df: DataFrame, key: str, order: list[Column | str]) -> DataFrame
 
 
 def seen_before(df: DataFrame, keys: list[Column | str], order: list[Column | str], name: str = "seen_before") -> DataFrame:
-    return df.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*order)) > 1)  # WN5
+    """Has a row with these keys come before, by order? (WN5) The first of each key is an aggregate with map-side combine, joined
+    back, so a key with very many rows isn't sorted in one task."""
+    at = [F.col(k) if isinstance(k, str) else k for k in keys]
+    place = F.struct(*order)
+    first = df.groupBy(*[k.alias(f"_k{i}") for i, k in enumerate(at)]).agg(F.min(place).alias("_first"))
+    met = df.join(first, [k.eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(at)], "left")
+    return met.withColumn(name, place != F.col("_first")).drop("_first", *[f"_k{i}" for i in range(len(at))])
 
 
 def duplicated(df: DataFrame, keys: list[Column | str], name: str = "duplicated") -> DataFrame:
-    """Every member of a group of more than one (WN6)."""
-    return df.withColumn(name, F.count("*").over(W.partitionBy(*keys)) > 1)
+    """Every member of a group of more than one (WN6): counted with map-side combine, then joined back."""
+    at = [F.col(k) if isinstance(k, str) else k for k in keys]
+    many = df.groupBy(*[k.alias(f"_k{i}") for i, k in enumerate(at)]).agg(F.count("*").alias("_n")).where("_n > 1")
+    met = df.join(many, [k.eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(at)], "left")
+    return met.withColumn(name, F.col("_n").isNotNull()).drop("_n", *[f"_k{i}" for i in range(len(at))])
 
 
-def batched(df: DataFrame, order: list[Column | str], size: int = 15, name: str = "batch", within: list[str] | None = None) -> DataFrame:
-    """Consecutive batches of ``size`` rows (WN7); give ``within`` to number inside keys rather than over the whole table."""
-    w = W.partitionBy(*within) if within else W.partitionBy()
-    return df.withColumn(name, F.floor((F.row_number().over(w.orderBy(*order)) - 1) / size).cast("bigint"))
+def row_numbers(df: DataFrame, order: str, within: list[str] | None = None, name: str = "row_number", ranges: int | None = None) -> DataFrame:
+    """1-based places by a whole-number column, over all rows or within keys, without a task that holds a whole key.
+
+    Rows are dealt into ranges of the column at approximate quantiles; counts per key and range (few rows) give each range its
+    offset, and rows are numbered inside it. Nulls come first.
+    """
+    spark, within = df.sparkSession, within or []
+    n = ranges or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cuts = sorted(set(df.agg(F.percentile_approx(order, [i / n for i in range(1, n)], 20 * n)).first()[0] or []))
+    place = F.coalesce(F.size(F.filter(F.array(*[F.lit(x) for x in cuts]), lambda x: x < F.col(order))), F.lit(0)) if cuts else F.lit(0)
+    dealt = df.withColumn("_range", F.when(F.col(order).isNull(), -1).otherwise(place))
+    counts = dealt.groupBy(*within, "_range").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(W.partitionBy(*within).orderBy("_range").rowsBetween(W.unboundedPreceding, -1))
+    offsets = counts.select(*[F.col(k).alias(f"_k_{k}") for k in within], F.col("_range").alias("_r"), F.coalesce(before, F.lit(0)).alias("_before"))
+    met = dealt.join(offsets, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in within] + [F.col("_range") == F.col("_r")])
+    inside = F.row_number().over(W.partitionBy(*within, "_range").orderBy(F.col(order).asc_nulls_first()))
+    return met.withColumn(name, F.col("_before") + inside).drop("_range", "_r", "_before", *[f"_k_{k}" for k in within])
+
+
+def batched(df: DataFrame, order: str, size: int = 15, name: str = "batch", within: list[str] | None = None) -> DataFrame:
+    """Consecutive batches of ``size`` rows, over all rows or within keys (WN7)."""
+    return row_numbers(df, order, within, "_place").withColumn(name, F.floor((F.col("_place") - 1) / size).cast("bigint")).drop("_place")
 
 
 def numbered(df: DataFrame, order: list[Column | str], name: str = "row_number") -> DataFrame:

@@ -40,6 +40,12 @@ def t(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 c = F.col
 
+
+def digest(name: str):
+    """A text as a key: 32 bytes are shuffled and compared instead of the text."""
+    return F.unhex(F.sha2(name, 256)).alias(name)
+
+
 # SQL pieces: the same patterns on both sides
 BARE = r"regexp_replace(regexp_replace(regexp_replace({0}, '[?#].*$', ''), '^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/]*)?', ''), ';[^/]*$', '')"
 BASE = "regexp_extract(" + BARE + ", '([^/]*)/*$', 1)"
@@ -119,7 +125,7 @@ def q07_doc_id_collision_suffix(spark, d):
 @query("select doc_id, lang, source from (select *, row_number() over (partition by text order by doc_id) as k from documents) where k = 1")
 def q08_keep_first(spark, d):
     """First row of equal texts (WN2)."""
-    return identity.keep(t(spark, d, "documents").select("doc_id", "lang", "source", "text"), ["text"], ["doc_id"]).drop("text")
+    return identity.keep(t(spark, d, "documents").select("doc_id", "lang", "source", digest("text")), ["text"], ["doc_id"]).drop("text")
 
 
 @query("select user_id, event_type, event_id, value from (select *, row_number() over (partition by user_id, event_type order by ts desc, event_id desc) as k from events) where k = 1")
@@ -132,25 +138,25 @@ def q09_keep_last(spark, d):
 @query("select doc_id, lang, source from (select *, row_number() over (partition by text order by case when lang = 'en' then 1 else 0 end desc, doc_id) as k from documents) where k = 1")
 def q10_keep_preferred(spark, d):
     """Of equal texts the preferred one, else the first (WN4, SO13)."""
-    return identity.keep(t(spark, d, "documents").select("doc_id", "lang", "source", "text"), ["text"], [F.desc((c("lang") == "en").cast("int")), c("doc_id")]).drop("text")
+    return identity.keep(t(spark, d, "documents").select("doc_id", "lang", "source", digest("text")), ["text"], [F.desc((c("lang") == "en").cast("int")), c("doc_id")]).drop("text")
 
 
 @query("select doc_id, count(*) over (partition by text) > 1 as duplicated from documents")
 def q11_duplicated_all_members(spark, d):
     """Every member of a group of equal texts (WN6)."""
-    return identity.duplicated(t(spark, d, "documents").select("doc_id", "text"), ["text"]).drop("text")
+    return identity.duplicated(t(spark, d, "documents").select("doc_id", digest("text")), ["text"]).drop("text")
 
 
 @query("select doc_id, source, cast((row_number() over (partition by source order by doc_id) - 1) // 15 as bigint) as batch from documents")
 def q12_batch_index(spark, d):
     """Batches of fifteen within a source (WN7)."""
-    return identity.batched(t(spark, d, "documents").select("doc_id", "source"), ["doc_id"], 15, within=["source"])
+    return identity.batched(t(spark, d, "documents").select("doc_id", "source"), "doc_id", 15, within=["source"])
 
 
 @query("select conv_id, turn, row_number() over (partition by role, text order by conv_id, turn) > 1 as seen_before from conversations")
 def q13_seen_before_flag(spark, d):
     """Has an equal pair come before? (WN5)"""
-    return identity.seen_before(t(spark, d, "conversations").select("conv_id", "turn", "role", "text"), ["role", "text"], ["conv_id", "turn"]).select("conv_id", "turn", "seen_before")
+    return identity.seen_before(t(spark, d, "conversations").select("conv_id", "turn", "role", digest("text")), ["role", "text"], ["conv_id", "turn"]).select("conv_id", "turn", "seen_before")
 
 
 # ---- M4: audit

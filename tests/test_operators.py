@@ -221,3 +221,20 @@ def test_class_cache_and_report(spark, tmp_path):
     assert sorted(log.read_text().split()) == ["one", "two"]
     rows = spark.createDataFrame([("Journal of Record 1", "a|b", "s", None, "x y.pdf", "12.7", "me")], "journal string, paper string, subject string, category string, url string, size_in_kb string, author string")
     assert tuple(legacy.report_rows(rows, "Journal of Record", "JRNL").first()) == (1, "JRNL 1", "s", "", "[a-b](x%20y.pdf)", "me", "12")
+
+
+def test_row_numbers_and_batches(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice(["a", "a", "a", "b", None]), x) for x in rng.sample(range(10_000), 400)] + [("a", None)]
+    df = spark.createDataFrame(rows, "k string, v long").repartition(5)
+    got = {(r["k"], r["v"]): (r["row_number"], r["batch"]) for r in identity.batched(identity.row_numbers(df, "v", ["k"], ranges=7), "v", 15, within=["k"]).collect()}
+    for k in ("a", "b", None):
+        own = sorted((v for x, v in rows if x == k), key=lambda v: (v is not None, v))
+        assert [got[(k, v)] for v in own] == [(i + 1, i // 15) for i in range(len(own))]
+    assert [r["row_number"] for r in identity.row_numbers(df, "v").orderBy(F.col("v").asc_nulls_first()).collect()] == list(range(1, 402))
+
+
+def test_duplicates_and_seen_with_nulls(spark):
+    df = spark.createDataFrame([(1, "x"), (2, None), (3, "x"), (4, None), (5, "y")], "o int, k string")
+    assert [r["duplicated"] for r in identity.duplicated(df, ["k"]).orderBy("o").collect()] == [True, True, True, True, False]
+    assert [r["seen_before"] for r in identity.seen_before(df, ["k"], ["o"]).orderBy("o").collect()] == [False, False, True, True, False]
