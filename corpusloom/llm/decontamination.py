@@ -13,7 +13,7 @@ from corpusloom.llm.common import load
 
 WINDOW = 10
 BENCH_MB = 16
-PIECE = 1 << 20
+PIECE = SPAN = 1 << 20
 _LOW = np.zeros(256, np.uint8)
 for _b in range(256):
     if 48 <= _b <= 57 or 97 <= _b <= 122 or _b >= 128:
@@ -41,7 +41,6 @@ def words(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """
     low = _LOW[data]
     n = len(low)
-    _powers(n + 1)
     into = low != 0
     first = np.zeros(n + 1, bool)
     first[offsets[:-1]] = True
@@ -51,9 +50,15 @@ def words(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray
     ends = into.copy()
     ends[:-1] &= gap[1:] | first[1:n]
     s, e = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(low * _POWERS[:n], out=sums[1:])
-    h = (sums[e] - sums[s]) * _INVERSE[s]
+    h, k = np.empty(len(s), np.uint64), 0
+    while k < len(s):  # sums over spans of bounded size, whatever the length of a text
+        last = max(k + 1, int(np.searchsorted(s, s[k] + SPAN)))
+        span = low[s[k] : e[last - 1]]
+        _powers(len(span) + 1)
+        sums = np.zeros(len(span) + 1, np.uint64)
+        np.cumsum(span * _POWERS[: len(span)], out=sums[1:])
+        h[k:last] = (sums[e[k:last] - s[k]] - sums[s[k:last] - s[k]]) * _INVERSE[s[k:last] - s[k]]
+        k = last
     h ^= h >> np.uint64(31)
     h *= np.uint64(_STEP)
     h ^= h >> np.uint64(29)

@@ -68,7 +68,10 @@ def grams(offsets: np.ndarray, data: np.ndarray) -> list[np.ndarray]:
 
 def ranked(codes: np.ndarray, top: int) -> np.ndarray:
     """The most frequent codes, most frequent first, ties by code."""
-    found, count = _counted(codes)
+    return _top(*_counted(codes), top)
+
+
+def _top(found: np.ndarray, count: np.ndarray, top: int) -> np.ndarray:
     order = np.lexsort((found, -count)) if len(found) <= 4 * top else _leading(found, count, top)
     return found[order[:top]]
 
@@ -85,15 +88,44 @@ def _leading(found: np.ndarray, count: np.ndarray, top: int) -> np.ndarray:
     return some[np.lexsort((found[some], -count[some]))]
 
 
+def counts_of_long(data: np.ndarray, piece: int = PIECE) -> tuple[np.ndarray, np.ndarray]:
+    """N-grams of one long text and their counts, in pieces cut where an ASCII character that is no letter stands: no n-gram
+    reaches across, so the counts are those of the whole."""
+    cuts, at = [0], 0
+    gap = np.flatnonzero((data < 65) | ((data > 90) & (data < 97)) | ((data > 122) & (data < 128)))
+    while at < len(data):
+        k = int(np.searchsorted(gap, at + piece))
+        at = int(gap[k]) + 1 if k < len(gap) else len(data)
+        cuts.append(at)
+    found, count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        f, n = _counted(grams(np.array([0, b - a], np.int64), data[a:b])[0])
+        both, place = np.unique(np.concatenate([found, f]), return_inverse=True)
+        found, count = both, np.bincount(place, np.concatenate([count, n]), len(both)).astype(np.int64)
+    return found, count
+
+
+def _counts(lang: str, found: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(found, pa.int64()), pa.array(count, pa.int64())], ["lang", "code", "n"])
+
+
 def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """N-grams of each language with their counts, given out whenever a few million have been gathered."""
     for batch in batches:
         by: dict[str, list[np.ndarray]] = {}
+        held = 0
         for part, off, data in rows_of(batch, PIECE):
-            for lang, codes in zip(part.column(part.schema.get_field_index("lang")).to_pylist(), grams(off, data)):
+            langs = part.column(part.schema.get_field_index("lang")).to_pylist()
+            if len(data) > 2 * PIECE:  # one long text
+                yield _counts(langs[0], *counts_of_long(data))
+                continue
+            for lang, codes in zip(langs, grams(off, data)):
                 by.setdefault(lang, []).append(codes)
-        for lang, codes in by.items():
-            found, count = _counted(np.concatenate(codes))
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(found), pa.array(count.astype(np.int64))], ["lang", "code", "n"])
+                held += len(codes)
+            if held > 4 * PIECE:
+                yield from (_counts(k, *_counted(np.concatenate(c))) for k, c in by.items())
+                by, held = {}, 0
+        yield from (_counts(k, *_counted(np.concatenate(c))) for k, c in by.items())
 
 
 class Profiles:
@@ -107,10 +139,13 @@ class Profiles:
             self.rank[k, np.searchsorted(self.codes, np.array(ranks[lang], np.int64))] = np.arange(len(ranks[lang]))
 
     def judge(self, codes: np.ndarray) -> tuple[str, float]:
-        """The language of least out-of-place distance and 1 - distance / largest distance."""
-        if not len(codes) or not self.languages:
+        """The language of least out-of-place distance and 1 - distance / largest distance, from all n-grams of a text."""
+        return self.judge_counts(*_counted(codes))
+
+    def judge_counts(self, found: np.ndarray, count: np.ndarray) -> tuple[str, float]:
+        if not len(found) or not self.languages:
             return "und", 0.0
-        mine = ranked(codes, self.top)
+        mine = _top(found, count, self.top)
         at = np.searchsorted(self.codes, mine)
         at[(at == len(self.codes)) | (self.codes[np.minimum(at, len(self.codes) - 1)] != mine)] = len(self.codes)
         theirs = self.rank[:, at]
@@ -141,7 +176,7 @@ def _judging(shared):
         profiles = shared.value
         for batch in batches:
             for part, off, data in rows_of(batch, PIECE):
-                said = [profiles.judge(codes) for codes in grams(off, data)]
+                said = [profiles.judge_counts(*counts_of_long(data))] if len(data) > 2 * PIECE else [profiles.judge(codes) for codes in grams(off, data)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array([x for x, _ in said], pa.string()), pa.array([y for _, y in said], pa.float64())], [*part.schema.names, "lang_pred", "score"])
 
     return run
