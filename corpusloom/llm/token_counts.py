@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,29 +29,31 @@ def pieces(path: str = MODEL) -> dict[str, float]:
     return {model.id_to_piece(i): -math.log(i + 2) for i in range(n) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))}
 
 
-class Trie:
+class Trie(dict):
     """Distinct pre-tokens share their prefixes: each node holds the best score of any segmentation of its prefix and the
-    tokens of that segmentation (the fewest among equals), computed once from the nodes above it. Terminals hold counts."""
+    tokens of that segmentation (the fewest among equals), computed once from the nodes above it.
+
+    As a dictionary it holds the terminal counts by the pre-token's bytes; a pre-token that isn't there is inserted and counted.
+    """
 
     def __init__(self, scores: dict[str, float], most_nodes: int = MOST_NODES):
+        super().__init__()
         self.scores, self.longest = scores, max(map(len, scores), default=1)
         self.unknown = min(scores.values(), default=0.0) - 10.0
         self.most_nodes = most_nodes
-        self.clear()
+        self.empty()
 
-    def clear(self) -> None:
+    def empty(self) -> None:
+        self.clear()
         self.below: list[dict[str, int]] = [{}]
         self.best: list[float] = [0.0]
         self.tokens: list[int] = [0]
-        self.terminal: dict[str, int] = {}
-
-    def count(self, word: str) -> int:
-        """Tokens of one pre-token; a character that no piece covers is spelt in UTF-8 bytes, a token each."""
-        if (known := self.terminal.get(word)) is not None:
-            return known
-        if len(self.below) > self.most_nodes:
-            self.clear()
-        text = SPACE + word
+
+    def __missing__(self, word: bytes) -> int:
+        """Tokens of a new pre-token; a character that no piece covers is spelt in UTF-8 bytes, a token each."""
+        if len(self.below) > self.most_nodes or len(self) > self.most_nodes:
+            self.empty()
+        text = SPACE + word.decode("utf-8", "replace")
         below, best, tokens, scores = self.below, self.best, self.tokens, self.scores
         path = [0]
         at = 0
@@ -73,7 +74,7 @@ class Trie:
                 tokens.append(few)
             at = nxt
             path.append(at)
-        self.terminal[word] = tokens[at]
+        self[word] = tokens[at]
         return tokens[at]
 
 
@@ -90,22 +91,11 @@ def _counting(shared):
         for batch in batches:
             at = batch.schema.get_field_index("text")
             off, data = column_bytes(batch.column(at))
-            view, known, count = memoryview(data), trie.terminal, trie.count
-            words, tokens = [], []
+            view, words, tokens = memoryview(data), [], []
             for a, b in zip(off[:-1].tolist(), off[1:].tolist()):
                 found = bytes(view[a:b]).split()
                 words.append(len(found))
-                total = 0
-                if len(found) > 2000:
-                    for w, n in Counter(found).items():
-                        total += n * count(w.decode("utf-8", "replace"))
-                else:
-                    for w in found:
-                        w = w.decode("utf-8", "replace")
-                        k = known.get(w)
-                        total += count(w) if k is None else k
-                    known = trie.terminal
-                tokens.append(total)
+                tokens.append(sum(map(trie.__getitem__, found)))
             rest = [i for i in range(batch.num_columns) if i != at]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in rest), pa.array(words, pa.int64()), pa.array(tokens, pa.int64())], [*(batch.schema.names[i] for i in rest), "n_pretokens", "n_tokens"])
 

@@ -382,7 +382,7 @@ def test_token_counts(spark, docs, none):
 
     text = [r["text"] for r in spark.read.parquet(f"{DATA}/documents.parquet").limit(20).collect()]
     words = sorted({w for t in text for w in t.split()})[:1500] + ["日本語", "🙂x", "\x00", "a" * 50]
-    assert [trie.count(w) for w in words] == [brute(w) for w in words]
+    assert [trie[w.encode()] for w in words] == [brute(w) for w in words]
     got = sorted((str(r["doc_id"]), r["n_pretokens"], r["n_tokens"]) for r in token_counts.token_counts(docs.withColumn("n_tokens", F.lit("clash"))).collect())
     split = [re.findall(r"[^\x20\x09-\x0D]+", x[1] or "") for x in ROWS]
     assert got == sorted((str(x[0]), len(w), sum(map(brute, w)) if len(set(w)) < 50 else 0) for x, w in zip(ROWS, split))
@@ -397,7 +397,7 @@ def test_token_counts_as_the_library(spark):
     trie = token_counts.Trie(scores)
     text = " ".join(r["text"] for r in spark.read.parquet(f"{DATA}/documents.parquet").limit(5).collect())
     words = sorted(set(text.split()))
-    same_count = sum(len(own.encode(token_counts.SPACE + w).tokens) == trie.count(w) for w in words)
+    same_count = sum(len(own.encode(token_counts.SPACE + w).tokens) == trie[w.encode()] for w in words)
     assert same_count >= 0.99 * len(words)  # they may choose otherwise among equal scores
 
 
@@ -439,3 +439,17 @@ def test_pairing_levels_agree_in_mass(spark):
 def test_hot_text_in_stored_tables(spark):
     df = stored(spark.range(10), "t")
     assert df.count() == 10 and hashlib.sha256(b"").hexdigest().startswith("e3b0") and duckdb.__version__
+
+
+def test_long_texts_in_pieces(monkeypatch):
+    rng = np.random.default_rng(9)
+    text = " ".join("".join(rng.choice(list("abcdé"), rng.integers(1, 9))) for _ in range(4000)) + " 日本語のテキスト" * 50
+    raw = np.frombuffer(text.encode(), np.uint8)
+    whole = language_id.grams(np.array([0, len(raw)]), raw)[0]
+    found, count = language_id.counts_of_long(raw, piece=500)
+    values, n = np.unique(whole, return_counts=True)
+    assert (found == values).all() and (count == n).all()
+    off = np.array([0, 700, 700, len(raw)], np.int64)
+    one = decontamination.words(off, raw)
+    monkeypatch.setattr(decontamination, "SPAN", 64)
+    assert all((a == b).all() for a, b in zip(one, decontamination.words(off, raw)))
