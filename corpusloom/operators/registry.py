@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Iterator
 
-MOST_LITERALS = 4096
+import ahocorasick
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+MOST_LITERALS = 65_536
+FEW = 16
 
 
 def needles(entries: DataFrame, entry: str = "entry") -> DataFrame:
@@ -12,23 +17,47 @@ def needles(entries: DataFrame, entry: str = "entry") -> DataFrame:
     return entries.select(entry, F.ltrim(F.col(entry), F.lit("$")).alias("needle")).where("needle <> ''")
 
 
+def _automaton(fragments: list[str]) -> ahocorasick.Automaton:
+    found = ahocorasick.Automaton()
+    for f in fragments:
+        found.add_word(f, f)
+    found.make_automaton()
+    return found
+
+
 def _any(fragments: list[str], text: Column) -> Column:
-    return F.exists(F.array(*[F.lit(x) for x in fragments]), lambda f: F.coalesce(F.contains(text, f), F.lit(False)))
+    """Is any fragment in the text? Few are tested as literals in the JVM. Of many, one automaton scans each text once, whatever
+    their number, in Arrow batches: testing each fragment by itself would read every text as often as there are fragments."""
+    if len(fragments) <= FEW:
+        out = F.lit(False)
+        for f in fragments:
+            out = out | F.coalesce(F.contains(text, F.lit(f)), F.lit(False))
+        return out
+    kept: list[ahocorasick.Automaton] = []
+
+    @F.pandas_udf(T.BooleanType())
+    def scan(texts: pd.Series) -> pd.Series:
+        if not kept:
+            kept.append(_automaton(fragments))
+        return texts.map(lambda t: t is not None and next(kept[0].iter(t), None) is not None).astype(bool)
+
+    return scan(text)
+
+
+def _fragments(entries: DataFrame, entry: str) -> list[str]:
+    found = [r["needle"] for r in needles(entries, entry).select("needle").distinct().limit(MOST_LITERALS + 1).collect()]
+    if len(found) > MOST_LITERALS:
+        raise ValueError(f"a registry of more than {MOST_LITERALS} fragments: join on tokens instead")
+    return sorted(found)
 
 
 def flagged(df: DataFrame, entries: DataFrame, haystacks: list[Column | str], entry: str = "entry", name: str = "affiliated") -> DataFrame:
-    """Is any fragment part of any haystack (FI1, JN5)?
-
-    Up to 4,096 fragments (checked by counting no further) become one literal array, tested in the scan without a join.
-    Beyond, fragments are cut into blocks of that many, one test a block, still in one pass.
-    """
-    found = [r["needle"] for r in needles(entries, entry).select("needle").distinct().limit(16 * MOST_LITERALS + 1).collect()]
-    if len(found) > 16 * MOST_LITERALS:
-        raise ValueError(f"a registry of more than {16 * MOST_LITERALS} fragments: join on tokens instead")
-    tests = [_any(found[i : i + MOST_LITERALS], F.col(h) if isinstance(h, str) else h) for i in range(0, len(found), MOST_LITERALS) for h in haystacks]
+    """Is any fragment part of any haystack (FI1, JN5)? One scan without a join or shuffle; the fragments are counted first, and
+    more than 65,536 are refused rather than collected."""
+    found = _fragments(entries, entry)
     test = F.lit(False)
-    for t in tests:
-        test = test | t
+    for h in haystacks if found else []:
+        test = test | _any(found, F.col(h) if isinstance(h, str) else h)
     return df.withColumn(name, test)
 
 
@@ -55,14 +84,20 @@ def suffix_flagged(df: DataFrame, entries: DataFrame, columns: list[str], entry:
 
 
 def unmatched_entries(entries: DataFrame, df: DataFrame, haystack: str, entry: str = "entry") -> DataFrame:
-    """Fragments that no haystack holds (JN12). The fragments are few: each partition reports those it has seen, and what
-    nobody reports is unmatched; no pair of row and fragment is built."""
-    keys = needles(entries, entry)
-    found = [r["needle"] for r in keys.select("needle").distinct().limit(MOST_LITERALS + 1).collect()]
-    if len(found) > MOST_LITERALS:
-        raise ValueError(f"more than {MOST_LITERALS} fragments")
+    """Fragments that no haystack holds (JN12). Each partition reports those it has seen, once each, and what nobody reports is
+    unmatched; no pair of row and fragment is built."""
+    found = _fragments(entries, entry)
+    keyed = entries.select(entry, F.ltrim(F.col(entry), F.lit("$")).alias("needle"))
     if not found:
-        return entries.select(entry)
-    every = F.array(*[F.lit(x) for x in found])
-    seen = df.select(F.explode(F.filter(every, lambda f: F.coalesce(F.contains(F.col(haystack), f), F.lit(False)))).alias("needle")).distinct()
-    return entries.select(entry, F.ltrim(F.col(entry), F.lit("$")).alias("needle")).join(seen, "needle", "left_anti").select(entry)
+        return keyed.select(entry)
+
+    def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        automaton, seen = _automaton(found), set()
+        for f in frames:
+            for t in f["hay"]:
+                if t is not None:
+                    seen.update(x for _, x in automaton.iter(t))
+        yield pd.DataFrame({"needle": sorted(seen)}, dtype="object")
+
+    seen = df.select(F.col(haystack).alias("hay")).mapInPandas(scan, "needle string").distinct()
+    return keyed.join(seen, "needle", "left_anti").select(entry)

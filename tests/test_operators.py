@@ -238,3 +238,14 @@ def test_duplicates_and_seen_with_nulls(spark):
     df = spark.createDataFrame([(1, "x"), (2, None), (3, "x"), (4, None), (5, "y")], "o int, k string")
     assert [r["duplicated"] for r in identity.duplicated(df, ["k"]).orderBy("o").collect()] == [True, True, True, True, False]
     assert [r["seen_before"] for r in identity.seen_before(df, ["k"], ["o"]).orderBy("o").collect()] == [False, False, True, True, False]
+
+
+def test_many_fragments_scan_once(spark):
+    fragments = [f"frag{i}x" for i in range(40)] + ["ag1", "é", "$$q"]
+    entries = spark.createDataFrame([(f,) for f in fragments], "entry string")
+    texts = ["a frag7x b", "ag", "frag12", "café", None, "", "q", "none"]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "id int, t string")
+    got = [r["affiliated"] for r in registry.flagged(df, entries, ["t"]).orderBy("id").collect()]
+    assert got == [x is not None and any(f.lstrip("$") in x for f in fragments) for x in texts]
+    left = {r["entry"] for r in registry.unmatched_entries(entries, df, "t").collect()}
+    assert left == {f for f in fragments if not any(x and f.lstrip("$") in x for x in texts)}
