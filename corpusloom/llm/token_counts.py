@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -13,7 +14,7 @@ from corpusloom.llm.common import load
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MOST_PIECES = 1_000_000
-MOST_NODES = 500_000
+MOST_NODES = 1_200_000
 SPACE = "▁"
 
 
@@ -34,42 +35,47 @@ class Trie(dict):
     tokens of that segmentation (the fewest among equals), computed once from the nodes above it.
 
     As a dictionary it holds the terminal counts by the pre-token's bytes; a pre-token that isn't there is inserted and counted.
+    Children are found by node and character in one table. Pieces that end at a node are tried from the shortest, as long as
+    some piece ends like that.
     """
 
     def __init__(self, scores: dict[str, float], most_nodes: int = MOST_NODES):
         super().__init__()
-        self.scores, self.longest = scores, max(map(len, scores), default=1)
+        self.scores = scores
+        self.endings = {p[i:] for p in scores for i in range(len(p))}
         self.unknown = min(scores.values(), default=0.0) - 10.0
         self.most_nodes = most_nodes
         self.empty()
 
     def empty(self) -> None:
         self.clear()
-        self.below: list[dict[str, int]] = [{}]
+        self.child: dict[int, int] = {}
         self.best: list[float] = [0.0]
         self.tokens: list[int] = [0]
 
     def __missing__(self, word: bytes) -> int:
         """Tokens of a new pre-token; a character that no piece covers is spelt in UTF-8 bytes, a token each."""
-        if len(self.below) > self.most_nodes or len(self) > self.most_nodes:
+        if len(self.best) > self.most_nodes or len(self) > self.most_nodes:
             self.empty()
         text = SPACE + word.decode("utf-8", "replace")
-        below, best, tokens, scores = self.below, self.best, self.tokens, self.scores
+        child, best, tokens, scores, endings = self.child, self.best, self.tokens, self.scores, self.endings
         path = [0]
         at = 0
         for i, c in enumerate(text):
-            nxt = below[at].get(c)
+            key = at << 21 | ord(c)
+            nxt = child.get(key)
             if nxt is None:
                 low, few = best[at] + self.unknown, tokens[at] + len(c.encode("utf-8", "surrogatepass"))
-                for j in range(max(0, i + 1 - self.longest), i + 1):
-                    score = scores.get(text[j : i + 1])
+                for j in range(i, -1, -1):
+                    piece = text[j : i + 1]
+                    score = scores.get(piece)
                     if score is not None:
                         score += best[path[j]]
                         if score > low or score == low and tokens[path[j]] + 1 < few:
                             low, few = score, tokens[path[j]] + 1
-                nxt = len(below)
-                below[at][c] = nxt
-                below.append({})
+                    elif piece not in endings:
+                        break
+                nxt = child[key] = len(best)
                 best.append(low)
                 tokens.append(few)
             at = nxt
@@ -78,16 +84,16 @@ class Trie(dict):
         return tokens[at]
 
 
-_OWN: dict[int, Trie] = {}
+#: The trie of this worker, kept from task to task, by the name of its vocabulary.
+_OWN: dict[str, Trie] = {}
 
 
-def _counting(shared):
+def _counting(shared, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scores = shared.value
-        trie = _OWN.get(id(scores))
-        if trie is None or trie.scores is not scores:
+        trie = _OWN.get(name)
+        if trie is None:
             _OWN.clear()
-            trie = _OWN[id(scores)] = Trie(scores)
+            trie = _OWN[name] = Trie(shared.value)
         for batch in batches:
             at = batch.schema.get_field_index("text")
             off, data = column_bytes(batch.column(at))
@@ -110,9 +116,11 @@ def token_counts(docs: DataFrame, path: str = MODEL) -> DataFrame:
     and n_tokens of ``docs`` are replaced. ``path`` is read by the driver alone.
     """
     docs = docs.drop("n_pretokens", "n_tokens")
-    shared = docs.sparkSession.sparkContext.broadcast(pieces(path))
+    scores = pieces(path)
+    name = hashlib.sha256(repr(sorted(scores.items())).encode()).hexdigest()
+    shared = docs.sparkSession.sparkContext.broadcast(scores)
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text")
-    return docs.mapInArrow(_counting(shared), f"{kept}, n_pretokens long, n_tokens long")
+    return docs.mapInArrow(_counting(shared, name), f"{kept}, n_pretokens long, n_tokens long")
 
 
 def op9_token_counts(spark, sf_dir: str) -> DataFrame:
