@@ -13,7 +13,7 @@ from corpusloom.llm.simhash import forest
 
 LEAST = 0.95
 NEAREST = 10
-SHARED = 2
+RADII = (1, 1.5, 2, 3, 4)
 LIST = 256
 BLOCK = 256
 MOST_PIVOTS, MOST_NUMBERS = 16384, 4_000_000
@@ -36,61 +36,90 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _describing(pivots, dim: int, nearest: int):
-    """Add ``perm``: the nearest pivots of each vector, nearest first."""
+def _carved(sample: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(places of pivots in ``sample``, radius of each): balls that together cover the sample, so a dense group has few pivots.
+
+    Each vector that no ball holds yet becomes a pivot. Of ``RADII`` (times the angle of a link) it takes the one with the
+    fewest comparisons for a newly covered vector, where all within radius and one link's angle more meet.
+    """
+    step = np.arccos(least)
+    radii = np.minimum(np.array(RADII) * step, np.pi)
+    inner, outer = np.cos(radii), np.cos(np.minimum(radii + step, np.pi))
+    x = sample.astype(np.float32)
+    free, places, chosen = np.ones(len(x), bool), [], []
+    for at in range(0, len(x), 64):
+        some = at + np.flatnonzero(free[at : at + 64])
+        if not len(some):
+            continue
+        for p, near in zip(some, x[some] @ x.T):
+            if not free[p]:
+                continue
+            near[p] = 1
+            cost = [float((near >= o).sum()) ** 2 / (free & (near >= i)).sum() for i, o in zip(inner, outer)]
+            best = int(np.argmin(cost))
+            free &= near < inner[best]
+            free[p] = False
+            places.append(p)
+            chosen.append(radii[best])
+    return np.array(places, np.int64), np.array(chosen)
+
+
+def _describing(pivots, dim: int, nearest: int, least: float):
+    """Add ``perm``: the pivots under which each vector is listed.
+
+    These are all pivots within their radius and one link's angle more, and, for a vector in no pivot's ball, its nearest
+    ones. By the triangle inequality all links of a vector inside a ball are then in that pivot's list.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pivots.value
+        table, radius = pivots.value
         k = min(nearest, len(table))
+        inner, outer = np.cos(radius) + 1e-9, np.cos(np.minimum(radius + np.arccos(least), np.pi)) - 1e-9
         for batch in batches:
             if not batch.num_rows:
                 continue
-            perm = []
+            perm, size = [], []
             for at in range(0, batch.num_rows, 1024):
                 near = _unit(_matrix(batch.slice(at, 1024).column(2), dim)) @ table.T
-                top = np.argpartition(-near, k - 1, axis=1)[:, :k]
-                order = np.lexsort((top, -np.take_along_axis(near, top, 1)), axis=1)
-                perm.append(np.take_along_axis(top, order, 1))
-            flat = np.concatenate(perm).astype(np.int32)
-            column = pa.ListArray.from_arrays(pa.array(np.arange(0, flat.size + 1, k), pa.int32()), pa.array(flat.ravel()))
+                listed = near >= outer
+                alone = np.flatnonzero(~(near >= inner).any(axis=1))
+                listed[alone[:, None], np.argpartition(-near[alone], k - 1, axis=1)[:, :k]] = True
+                perm.append(np.nonzero(listed)[1].astype(np.int32))
+                size.append(listed.sum(axis=1))
+            ends = np.concatenate([[0], np.cumsum(np.concatenate(size))])
+            column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(perm)))
             yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, "perm"])
 
     return run
 
 
-def _pairs(dim: int, least: float, shared: int):
+def _pairs(dim: int, least: float):
     """All links between the two sides of a pair of blocks of one pivot's list.
 
-    Candidates share ``shared`` of their nearest pivots (counted by one product of membership rows); their cosines are then
-    computed in double precision. A pair that meets in several lists counts in that of its smallest shared pivot.
-    Returns links as counts by vector and as a spanning forest, never as all pairs.
+    The cosines of all pairs are computed in double precision. A pair that meets in several lists counts in that of its
+    smallest shared pivot. Returns links as counts by vector and as a spanning forest, never as all pairs.
     """
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         pivot, same = key[0].as_py(), key[1].as_py() == key[2].as_py()
         rid, n, side = (table[c].to_numpy() for c in ("rid", "n", "side"))
         x, size = _unit(_matrix(table["vec"], dim)), table["vec"].combine_chunks().value_lengths().to_numpy()
-        perm = np.array(table["perm"].to_pylist(), np.int64)
         one = np.flatnonzero(side == 0)
         two = one if same else np.flatnonzero(side == 1)
-        near, local = np.unique(perm, return_inverse=True)
-        member = np.zeros((len(rid), len(near)), np.float32)
-        np.put_along_axis(member, local.reshape(perm.shape), 1, axis=1)
-        met = member[one] @ member[two].T >= shared
+        met = (x[one] @ x[two].T >= least) & (size[one][:, None] == size[two][None, :])
         if same:
             met = np.triu(met, 1)
+        if met.any():  # not those that share a smaller pivot
+            lists = table["perm"].combine_chunks()
+            row, flat = np.repeat(np.arange(len(rid)), lists.value_lengths().to_numpy()), lists.flatten().to_numpy()
+            row, flat = row[flat < pivot], flat[flat < pivot]
+            near, local = np.unique(flat, return_inverse=True)
+            member = np.zeros((len(rid), len(near)), np.float32)
+            member[row, local] = 1
+            i, j = np.flatnonzero(met.any(axis=1)), np.flatnonzero(met.any(axis=0))
+            met[np.ix_(i, j)] &= member[one[i]] @ member[two[j]].T == 0
         i, j = np.nonzero(met)
-        if len(i) > 0.05 * met.size:
-            close = (x[one] @ x[two].T)[i, j] >= least
-        else:
-            close = np.einsum("ij,ij->i", x[one[i]], x[two[j]]) >= least if len(i) else np.zeros(0, bool)
-        i, j = one[i[close]], two[j[close]]
-        first = np.full(len(i), np.iinfo(np.int64).max)
-        for c in range(perm.shape[1]):  # the smallest pivot that both have
-            p = perm[i, c]
-            first = np.where((perm[j] == p[:, None]).any(axis=1) & (p < first), p, first)
-        own = (first == pivot) & (size[i] == size[j])
-        i, j = i[own], j[own]
+        i, j = one[i], two[j]
         count = np.bincount(i, n[j], len(rid)) + np.bincount(j, n[i], len(rid))
         some = np.flatnonzero(count)
         a, b = forest(rid[i], rid[j])
@@ -102,13 +131,14 @@ def _pairs(dim: int, least: float, shared: int):
     return run
 
 
-def near_vectors(rows: DataFrame, least: float = LEAST, nearest: int = NEAREST, shared: int = SHARED) -> DataFrame:
+def near_vectors(rows: DataFrame, least: float = LEAST, nearest: int = NEAREST) -> DataFrame:
     """vec_id, n_links, component_id, kept and embedding of each row of ``rows(vec_id, embedding)``.
 
     Equal vectors collapse first (map-side combine) and count with their number. A bounded sample of distinct vectors serves as
-    pivots (1 for about 25 vectors, 16,384 or 4 million numbers at most, taken by hash); every vector is described by its 10 nearest ones, is
-    listed under each, and is retrieved through lists by pivots shared. Lists are cut into blocks of 256 by hash, and each pair
-    of blocks is a task's group, so no list meets in one task. Components are found by distributed rounds.
+    pivots (1 for about 25 vectors, 16,384 or 4 million numbers at most, taken by hash), less those inside the ball of another, so a
+    dense group has few. A vector inside a ball is listed under each pivot that one of its links can have, and all its links are
+    found; one in no ball is listed under its 10 nearest pivots too, and two such vectors link if they share a list. Lists are cut into blocks
+    of 256 by hash, and each pair of blocks is a task's group, so no list meets in one task. Components are found by distributed rounds.
 
     A vector that is null, zero, empty, or holds null or non-finite components links with nothing; vectors of different
     lengths don't link. Null ids: such a row takes part, counts as a link, and names no component unless all its ids are null.
@@ -128,15 +158,17 @@ def near_vectors(rows: DataFrame, least: float = LEAST, nearest: int = NEAREST,
         table = np.zeros((len(chosen), have["dim"]))
         for i, v in enumerate(chosen):
             table[i, : len(v)] = v
-        pivots = spark.sparkContext.broadcast(_unit(table))
+        table = _unit(table)
+        places, radius = _carved(table, least)
+        pivots = spark.sparkContext.broadcast((table[places], radius))
         kind = reps.schema["vec"].dataType.simpleString()
-        marked = stored(reps.select("rid", "n", "vec").mapInArrow(_describing(pivots, have["dim"], nearest), f"rid long, n long, vec {kind}, perm array<int>"), "described")
+        marked = stored(reps.select("rid", "n", "vec").mapInArrow(_describing(pivots, have["dim"], nearest, least), f"rid long, n long, vec {kind}, perm array<int>"), "described")
         lists = marked.select("rid", "n", "vec", "perm", F.explode("perm").alias("pivot"))
         sizes = marked.select(F.explode("perm").alias("pivot")).groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
         lists = lists.join(F.broadcast(sizes), "pivot").withColumn("own", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))  # one row a pivot, 16,384 at most
         pairs = lists.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
             "pivot", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), "rid", "n", "vec", "perm", F.when(F.col("own") <= F.col("o"), 0).otherwise(1).alias("side"))
-        found = stored(pairs.groupBy("pivot", "i", "j").applyInArrow(_pairs(have["dim"], least, shared), "a long, b long, links long"), "found")
+        found = stored(pairs.groupBy("pivot", "i", "j").applyInArrow(_pairs(have["dim"], least), "a long, b long, links long"), "found")
     else:
         found = spark.createDataFrame([], "a long, b long, links long")
     links = found.where("b is null").groupBy(F.col("a").alias("rid")).agg(F.sum("links").alias("links"))

@@ -186,6 +186,17 @@ def test_vector_recall_at_the_threshold(spark):
     assert sum(got.values()) >= 0.95 * true.sum() and all(got[i] <= true[i] for i in got)
 
 
+@pytest.mark.parametrize("rows, cosine", [(700, 0.98), (4000, 0.97), (10_000, 0.98)])
+def test_vector_links_in_a_group_of_near_copies(spark, rows, cosine):
+    rng = np.random.default_rng(rows)
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    x = unit(rng.normal(size=(rows, 64)))
+    x[: rows // 3] = unit(x[0] + x[: rows // 3] * np.sqrt(1 / cosine - 1))
+    got = {r["vec_id"]: r["n_links"] for r in embeddings.near_vectors(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()}
+    true = (x @ x.T >= 0.95).sum(1) - 1
+    assert true.sum() > 0.9 * (rows // 3) ** 2 and got == dict(enumerate(true.tolist()))
+
+
 # ---- 5
 
 
