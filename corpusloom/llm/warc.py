@@ -44,12 +44,12 @@ def originals(pages: DataFrame, least: int = LEAST, payload: str = "html", key:
 def chunks(rows: DataFrame, chunk: int = CHUNK, payload: str = "html", key: str = "page_id", url: str = "url") -> DataFrame:
     """The chunked record table: record_id, chunk, n_chunks, data and the record's headers; revisits have one empty chunk.
 
-    Payloads are cut after ``chunk`` characters, and inside each place that reads like the start of a WARC record after an
-    empty line, so no chunk can be taken for a record's end.
+    Payloads are cut after ``chunk`` characters, and inside each place that reads like the start of a WARC record, so no
+    chunk can be taken for a record's end, and none begins like a record of its own.
     """
     rows = rows.withColumn("record_id", F.concat(F.lit("urn:warc:"), F.md5(F.concat_ws("|", F.col(key).cast("string"), F.col(url), F.col("payload_digest"))), F.lit("-"), F.monotonically_increasing_id().cast("string")))
     body = F.when(F.col("refers_to").isNotNull(), F.lit("")).otherwise(F.coalesce(F.col(payload), F.lit("")))
-    cut = F.when(body.contains("\nWARC/1.1"), F.split(body, r"(?<=\nWARC)(?=/1\.1)")).otherwise(F.array(body))
+    cut = F.when(body.contains("WARC/1.1"), F.split(body, r"(?<=WARC)(?=/1\.1)")).otherwise(F.array(body))
     pieces = F.flatten(F.transform(cut, lambda p: F.when(F.length(p) <= chunk, F.array(p)).otherwise(
         F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.length(p) - 1) / chunk).cast("int"))), lambda i: F.substring(p, i * chunk + 1, F.lit(chunk))))))
     rows = rows.withColumn("_p", pieces).withColumn("n_chunks", F.size("_p"))

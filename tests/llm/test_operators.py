@@ -323,6 +323,18 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.op7_warc(spark, _empty_pages(spark, tmp_path)).count() == 0
 
 
+def test_warc_payloads_that_begin_like_a_record(spark, tmp_path):
+    start = "WARC/1.1\r\n"
+    bodies = [start + "WARC-Type: x\r\n\r\n" + "a" * 100, "WARC/1.1", start, start * 3, "w" * 65_536 + start + "v", "w" * 65_533 + start, "in WARC/1.1 prose"]
+    pages = spark.createDataFrame(list(enumerate(bodies)), "page_id long, html string").withColumn("url", F.lit("u"))
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    same(warc.op7_warc(spark, str(tmp_path)), warc.SQL, str(tmp_path))
+    by = {}
+    for r in warc.records(spark, warc.archive(warc.chunks(warc.originals(pages)))).collect():
+        by.setdefault(r["page_id"], {})[r["chunk"]] = r["data"]
+    assert {p: "".join(parts[k] for k in range(len(parts))) for p, parts in by.items()} == dict(enumerate(bodies))
+
+
 def _empty_pages(spark, tmp_path) -> str:
     spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{tmp_path}/none/pages.parquet")
     return f"{tmp_path}/none"
