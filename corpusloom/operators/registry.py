@@ -61,26 +61,23 @@ def flagged(df: DataFrame, entries: DataFrame, haystacks: list[Column | str], en
     return df.withColumn(name, test)
 
 
-def ends_with(url: Column, fragment: Column) -> Column:
-    """The last segment is the fragment itself, so ``1.pdf`` isn't found in ``Vol11.pdf`` (FI2)."""
-    return F.coalesce(url.endswith(F.concat(F.lit("/"), fragment)) | (url == fragment), F.lit(False))
-
-
 def suffix_flagged(df: DataFrame, entries: DataFrame, columns: list[str], entry: str = "entry", name: str = "affiliated") -> DataFrame:
-    """Flag rows one of whose URLs ends in a fragment (FI2, UP3). A fragment has no slash in practice, so the last segment is
-    joined by equality; fragments with slashes are tested as literals."""
-    last = entries.select(F.col(entry).alias("_key")).where("instr(_key, '/') = 0 and _key <> ''").distinct()
+    """Flag rows one of whose URLs ends in a fragment of whole segments, so ``1.pdf`` isn't found in ``Vol11.pdf`` (FI2, UP3). A fragment with n slashes is joined by equality with the last
+    n + 1 segments; only the numbers of slashes that occur are collected, and each costs a join."""
+    keys = entries.select(F.col(entry).alias("_key")).where("_key <> ''").distinct()
+    slashes = F.length("_key") - F.length(F.replace(F.col("_key"), F.lit("/")))
+    depths = {r["n"] for r in keys.where("instr(_key, '/') > 0").select(slashes.alias("n")).distinct().collect()}
     hit = None
     out = df
-    for i, c in enumerate(columns):
-        mark = last.select(F.col("_key").alias(f"_k{i}"))
-        out = out.join(mark, F.regexp_extract(F.col(c), r"([^/]*)$", 1) == F.col(f"_k{i}"), "left")
-        hit = F.col(f"_k{i}").isNotNull() if hit is None else hit | F.col(f"_k{i}").isNotNull()
-    deep = [r[entry] for r in entries.where(F.instr(entry, "/") > 0).limit(MOST_LITERALS).collect()]
-    for fragment in deep:
+    used = []
+    for n in sorted({0} | depths):
         for c in columns:
-            hit = hit | ends_with(F.col(c), F.lit(fragment))
-    return out.withColumn(name, hit).drop(*[f"_k{i}" for i in range(len(columns))])
+            k = f"_k{len(used)}"
+            mark = keys.where(slashes == n).select(F.col("_key").alias(k))
+            out = out.join(mark, F.substring_index(F.col(c), "/", -(n + 1)) == F.col(k), "left")
+            hit = F.col(k).isNotNull() if hit is None else hit | F.col(k).isNotNull()
+            used.append(k)
+    return out.withColumn(name, hit).drop(*used)
 
 
 def unmatched_entries(entries: DataFrame, df: DataFrame, haystack: str, entry: str = "entry") -> DataFrame:

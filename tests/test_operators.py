@@ -19,6 +19,16 @@ def test_contains_and_suffix_registry(spark):
     assert registry.flagged(rows, entries.limit(0), ["url"]).where("affiliated").count() == 0
 
 
+def test_suffix_registry_with_more_slash_fragments_than_the_limit(spark, monkeypatch):
+    monkeypatch.setattr(registry, "MOST_LITERALS", 2)
+    fragments = ["a/1.pdf", "a/1.pdf", "a/1.pdf", "b/2.pdf", "x/y/3.pdf", "/4.pdf", "5/", "6.pdf"]
+    urls = ["https://h/a/1.pdf", "b/2.pdf", "https://h/bb/2.pdf", "x/y/3.pdf", "https://h/x/y/3.pdf", "y/3.pdf", "https://h//4.pdf", "/4.pdf", "h/4.pdf", "h/5/", "h/15/", "h/6.pdf", None]
+    rows = spark.createDataFrame(list(enumerate(urls)), "id int, url string").withColumn("mirror_url", F.lit(None).cast("string"))
+    entries = spark.createDataFrame([(f,) for f in fragments], "entry string")
+    want = [u is not None and any(u == f or u.endswith("/" + f) for f in fragments) for u in urls]
+    assert [r["affiliated"] for r in registry.suffix_flagged(rows, entries, ["url", "mirror_url"]).orderBy("id").collect()] == want and sum(want) == 8
+
+
 @given(st.lists(st.tuples(st.sampled_from("abc"), st.integers(0, 3)), max_size=12))
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 def test_keep_is_idempotent(spark, rows):
