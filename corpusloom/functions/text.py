@@ -117,6 +117,17 @@ def year_token(c: Column | str) -> Column:
     return F.try_element_at(F.filter(F.split(col(c), "-"), lambda x: x.rlike(r"^\d{4}$")), F.lit(1))
 
 
+def first_year(c: Column | str) -> Column:
+    """The first four digits in a row, else an empty text (FN13)."""
+    return F.regexp_extract(col(c), r"(\d{4})", 1)
+
+
+def partition(c: Column | str, mark: str = "/") -> Column:
+    """(head, tail) around the first mark; all is head where there is none (FN9)."""
+    at = F.instr(col(c), mark)
+    return F.struct(F.when(at > 0, F.left(col(c), at - 1)).otherwise(col(c)).alias("head"), F.when(at > 0, F.substring(col(c), at + len(mark), F.length(col(c)))).otherwise("").alias("tail"))
+
+
 def clean_number(c: Column | str) -> Column:
     """Null and ``nan`` are empty; one trailing .0 goes, from texts that look like numbers (PR12)."""
     s = col(c)

@@ -42,14 +42,35 @@ def moved_and_missing(a: DataFrame, b: DataFrame, group: str, title: str, order:
     return only.join(to, title, "left").select(*a.columns, "moved_to", F.when(F.col("moved_to").isNull(), "missing").otherwise("moved").alias("status"))
 
 
+def gap_listing(moved: DataFrame, group: str, title: str) -> DataFrame:
+    """The rows of ``moved_and_missing`` as a report lists them: moved ones by title, then missing ones by group, as one range
+    sort (SO12)."""
+    at = F.when(F.col("status") == "moved", F.col(title)).otherwise(F.col(group))
+    return moved.orderBy(F.desc("status"), at, title, group)
+
+
 def titles_by_group(df: DataFrame, group: str, title: str) -> DataFrame:
-    return df.groupBy(group).agg(F.sort_array(F.collect_list(title)).alias("titles"))  # AG13
+    """The sorted titles of each group as one array (AG13), for the listing of a group that one cell can hold."""
+    return df.groupBy(group).agg(F.sort_array(F.collect_list(title)).alias("titles"))
+
+
+def titles_in_order(df: DataFrame, group: str, title: str) -> DataFrame:
+    """The same as rows: groups in order, titles in order within each, one range sort and no array however large a group is (AG13)."""
+    return df.select(group, title).orderBy(group, title)
+
+
+def shared_members(df: DataFrame, key: str, member: str) -> DataFrame:
+    """(key, n, member) for each distinct member of a key that more than one member has (AG6). Keys are counted first, with
+    map-side combine, and only rows of shared keys go on: no key's members meet in one array."""
+    pairs = df.where(F.coalesce(F.col(key), F.lit("")) != "").select(key, member).distinct()
+    many = pairs.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
+    return pairs.join(many, key).select(key, "n", member)
 
 
 def shared_keys(df: DataFrame, key: str, member: str, name: str = "members") -> DataFrame:
-    """Keys that more than one member has, with the members sorted (AG6, CK12)."""
-    groups = df.where(F.coalesce(F.col(key), F.lit("")) != "").groupBy(key).agg(F.sort_array(F.collect_set(member)).alias(name))
-    return groups.where(F.size(name) > 1).select(key, F.size(name).cast("bigint").alias("n"), name)
+    """Keys that more than one member has, with the members sorted (AG6, CK12), as a report prints them; ``shared_members``
+    gives them as rows."""
+    return shared_members(df, key, member).groupBy(key, "n").agg(F.sort_array(F.collect_list(member)).alias(name))
 
 
 def cross_origin(df: DataFrame, key: str, origin: str) -> DataFrame:

@@ -88,8 +88,8 @@ def issue_id(option: Column, code: str = "jrnl") -> Column:
 def repaired_url(url: Column, settings: Settings | None = None) -> Column:
     """Give stored files their session segment where it is missing, pad the short volume, end in .pdf (FI22, PR23)."""
     s = settings or Settings()
-    bad = F.contains(url, F.lit("writereaddata")) & ~F.contains(url, F.lit("(S("))
-    fixed = F.replace(F.replace(url, F.lit("/writereaddata"), F.lit(s.session_segment + "/writereaddata")), F.lit(s.short_volume[0]), F.lit(s.short_volume[1]))
+    bad = F.contains(url, F.lit(s.stored_segment)) & ~F.contains(url, F.lit(s.session_mark))
+    fixed = F.replace(F.replace(url, F.lit(f"/{s.stored_segment}"), F.lit(f"{s.session_segment}/{s.stored_segment}")), F.lit(s.short_volume[0]), F.lit(s.short_volume[1]))
     out = F.when(bad, fixed).otherwise(url)
     return F.when(F.lower(out).endswith(".pdf"), out).otherwise(F.concat(out, F.lit(".pdf")))
 
@@ -201,7 +201,7 @@ def ingested(triaged: DataFrame, settings: Settings | None = None) -> DataFrame:
     s = settings or Settings()
     m = triaged.where("status = 'new'").withColumn("m", metadata_of_name(F.col("name"), s))
     blank = F.lit("")
-    return m.select(F.col("m.journal").alias("journal"), F.col("m.title").alias("paper"), blank.alias("subject"), F.lit("Indic").alias("category"), F.col("m.author").alias("author"), blank.alias("url"), F.expr("bytes div 1024").cast("string").alias("size_in_kb"), blank.alias("year"),
+    return m.select(F.col("m.journal").alias("journal"), F.col("m.title").alias("paper"), blank.alias("subject"), F.lit(s.ingest_category).alias("category"), F.col("m.author").alias("author"), blank.alias("url"), F.expr("bytes div 1024").cast("string").alias("size_in_kb"), blank.alias("year"),
                     F.concat(F.lit(s.mirror_prefix), "name").alias("mirror_url"), F.lit("true").alias("affiliated"), F.lit("pdf").alias("entry_type"), F.lit("ingest").alias("source"), F.concat(F.lit(f"{s.buckets[1]}/"), "name").alias("object_key"), F.lit("false").alias("object_synced"))
 
 

@@ -15,10 +15,6 @@ from corpusloom.plans.canonical import Roots
 from corpusloom.schemas import ROOT_HEADERS
 from corpusloom.settings import Settings
 
-#: Titles of entries that have no author by their nature, from the start of the title, whatever the case.
-PROCEDURAL_TITLES = (
-    r"notes?$", r"reviews?$", r"book reviews?$", r"news\b", r"notes? and news$", r"announcements?$", r"session\b.*discussion$", r"discussions?$", r"supplement\b", r"supplements$", r"new publications$", r"erratum$", r"contents$", r"editorial$", r"guest editorial$", r"obituary\b",
-    r"orbituay\b", r"book received\b", r"books received\b", r"annual contents\b", r"cumulative index\b", r"notices?\b", r"notice of journals\b", r"conferences?$", r"correspondence\b", r"publication on history of science$", r"academy publications?\b", r"projects approved\b", r"indian national commission\b", r"chama newsletter$", r"form iv$", r"awards and honours$")
 ISSUE = "severity string, message string, details map<string,string>"
 
 
@@ -33,8 +29,9 @@ class AuditContext:
     settings: Settings
 
 
-def procedural(title: Column) -> Column:
-    return title.rlike("(?i)^(?:" + "|".join(PROCEDURAL_TITLES) + ")")  # FI7
+def procedural(title: Column, settings: Settings) -> Column:
+    """Has such an entry no author by its nature (FI7)?"""
+    return title.rlike("(?i)(?:" + "|".join(settings.procedural_titles) + ")")
 
 
 def issue(df: DataFrame, severity: str, message: str, **details: Column) -> DataFrame:
@@ -87,13 +84,13 @@ def root_input_validation(ctx: AuditContext) -> tuple[DataFrame, DataFrame]:
         "non_pdf_url": ((c("url") != "") & ~is_pdf_path("url"), "error", "Portal row URL does not look like a PDF", {"url": c("url")}),
         "non_numeric_size": ((c("size_in_kb") != "") & ~is_float("size_in_kb"), "warning", "Portal row size_in_kb is not numeric", {"size_in_kb": c("size_in_kb"), "paper": c("paper")}),
         None: ((c("journal") != "") & ~c("journal").rlike(s.journal_pattern), "warning", "Portal row journal does not match the expected pattern", {"journal": c("journal"), "paper": c("paper")}),
-        "unexpected_blank_author": ((c("author") == "") & ~procedural(c("paper")), "info", "Portal row has blank author outside the expected procedural patterns", {"paper": c("paper"), "journal": c("journal")}),
+        "unexpected_blank_author": ((c("author") == "") & ~procedural(c("paper"), s), "info", "Portal row has blank author outside the expected procedural patterns", {"paper": c("paper"), "journal": c("journal")}),
     }
     for name, (test, severity, message, details) in rules.items():
         parts.append(issue(p.where(test), severity, message, row_number=c("ordinal"), **details))
     absent = _absent(p, r.inventory, s.buckets[0])
     parts.append(issue(absent, "error", "Portal row URL basename is missing from the main asset root", row_number=c("ordinal"), filename=c("filename"), url=c("url")))
-    sums.append(p.agg(*[F.count_if(t[0]).alias(f"portal_{n}") for n, t in rules.items() if n], F.count_if((c("author") == "") & procedural(c("paper"))).alias("portal_expected_authorless")))
+    sums.append(p.agg(*[F.count_if(t[0]).alias(f"portal_{n}") for n, t in rules.items() if n], F.count_if((c("author") == "") & procedural(c("paper"), s)).alias("portal_expected_authorless")))
     sums.append(absent.agg(F.count("*").alias("portal_unmatched_local_filename")))
 
     for name, label, table, last in (("curated_files", "Curated file", _rows(r.curated_files), True), ("curated_links", "Curated link", _rows(r.curated_links), False)):
@@ -150,7 +147,7 @@ def core_field_quality(ctx: AuditContext) -> tuple[DataFrame, DataFrame]:
     """Missing core fields, up to 20 of each kind (CK8, WN9)."""
     d, c = ctx.documents, F.col
     authorless = clean("author_display") == ""
-    expected = (c("source_root") == "portal") & procedural(clean("title"))
+    expected = (c("source_root") == "portal") & procedural(clean("title"), ctx.settings)
     kinds = {"title": ("error", clean("title") == ""), "author_display": ("warning", authorless & ~expected), "journal_label": ("warning", clean("journal_label") == ""), "entry_type": ("error", clean("entry_type") == "")}
     parts = [issue(samples(d.where(test).withColumn("_k", F.lit(k)), ["_k"], ["source_root", "doc_id"]), severity, f"Missing core field `{k}`", doc_id=c("doc_id"), source_root=c("source_root")) for k, (severity, test) in kinds.items()]
     sums = d.agg(*[F.count_if(t).alias(f"missing_{k}") for k, (_, t) in kinds.items()], F.count_if(authorless & expected).alias("expected_authorless"), F.count_if(clean("year") == "").alias("missing_year"), F.count_if((clean("year") == "") & F.startswith("journal_label", F.lit(ctx.settings.journal_code + "-"))).alias("year_derivable"))
@@ -178,7 +175,7 @@ def missing_local_files(ctx: AuditContext) -> tuple[DataFrame, DataFrame]:
 
 
 def orphan_files(ctx: AuditContext) -> tuple[DataFrame, DataFrame]:
-    """Files that no asset maps, neither by name nor by its percent-encoded form (CK11, JN9)."""
+    """Files that no asset maps, neither by name nor by its percent-encoded form (CK11, JN9, FN8)."""
     mapped = ctx.assets.where("coalesce(local_rel_path, '') <> ''").select(F.col("local_rel_path").alias("path")).distinct()
     files = ctx.roots.inventory.withColumn("path", F.concat("bucket", F.lit("/"), "name")).withColumn("alias", F.concat("bucket", F.lit("/"), percent_encode("name", "'()&,-._~")))
     alone = files.join(mapped, "path", "left_anti").join(mapped.withColumnRenamed("path", "alias"), "alias", "left_anti")
@@ -235,14 +232,29 @@ def severity_counts(found: DataFrame) -> DataFrame:
     return found.groupBy("severity").agg(F.count("*").alias("n"))  # AG4
 
 
+def check_names() -> list[str]:
+    """The names of all checks, sorted (SO14)."""
+    return sorted(CHECKS)
+
+
+def scans(ctx: AuditContext) -> dict[str, DataFrame]:
+    """The canonical tables in the order in which reports read them (SO2)."""
+    return {"documents": ctx.documents.orderBy("source_root", "doc_id"), "asset_refs": ctx.assets.orderBy("doc_id", "asset_id"), "document_sources": ctx.sources.orderBy("source_path", "source_row_id")}
+
+
+def in_order(found: DataFrame) -> list[Column]:
+    return [F.col("message"), F.to_json("details")]
+
+
 def run(ctx: AuditContext, names: list[str] | None = None, most: int = 20) -> tuple[list[dict], dict[str, int]]:
-    """Results for a report: summary, number of issues and the first ones of each check; the rest stays distributed."""
+    """Results for a report: of each check its summary, the number of its issues, the first ``most`` of them as a sample, and under
+    ``found`` the frame of all of them, which stays distributed (``sinks.audit_json`` writes them whole)."""
     out, totals = [], {}
     for n in names or list(CHECKS):
         found, summary = CHECKS[n](ctx)
         by = {r["severity"]: r["n"] for r in severity_counts(found).collect()}
         for k, v in by.items():
             totals[k] = totals.get(k, 0) + v
-        head = found.orderBy("message", F.to_json("details")).limit(most).collect()
-        out.append({"name": n, "summary": {r["key"]: r["value"] for r in summary.orderBy("key").collect()}, "issue_count": sum(by.values()), "issues": [r.asDict() for r in head]})
+        head = found.orderBy(*in_order(found)).limit(most).collect()
+        out.append({"name": n, "summary": {r["key"]: r["value"] for r in summary.orderBy("key").collect()}, "issue_count": sum(by.values()), "issues": [r.asDict() for r in head], "found": found})
     return out, dict(sorted(totals.items()))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, ty
 from corpusloom.functions.text import clean, py_strip
 from corpusloom.operators.identity import with_ordinal
 from corpusloom.schemas import INVENTORY, text_table
+from corpusloom.settings import Settings
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -113,7 +114,7 @@ def cells(line: str = "line"):
     return F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 2, F.lit(0))), lambda c: py_strip(c))
 
 
-def named_listing(rows: DataFrame, marker: str = "| # | Journal |", names: tuple[str, ...] = ("Journal", "Paper", "Author")) -> DataFrame:
+def named_listing(rows: DataFrame, marker: str = Settings.listing_marker, names: tuple[str, ...] = ("Journal", "Paper", "Author")) -> DataFrame:
     """A markdown table whose columns are found by name in its header line (SC15): ordinal, one column a name, title, line.
 
     Rows before the header, separators, lines that don't begin with a pipe and rows with too few cells are left out. The

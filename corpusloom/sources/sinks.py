@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable, Iterable
+from itertools import chain
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,8 +12,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from corpusloom.schemas import INDEX_COLUMNS
 
 
-def store(tables: dict[str, DataFrame], folder: str, write: bool = True) -> dict[str, str]:
-    """Write all tables into a staging folder, then put it in the place of the old store (SK1, SK8); ``write=False`` only says where (SK19)."""
+def store(tables: dict[str, DataFrame], folder: str, write: bool = True, check: Callable[[dict[str, DataFrame]], None] | None = None) -> dict[str, str]:
+    """Write all tables into a staging folder, then put it in the place of the old store (SK1, SK8); ``write=False`` only says where (SK19).
+
+    ``check`` (such as ``canonical.verify``) reads the staged tables, so nothing is computed twice; if it raises, the old store stays.
+    """
     paths = {name: f"{folder}/{name}" for name in tables}
     if not write or not tables:
         return paths
@@ -22,6 +27,12 @@ def store(tables: dict[str, DataFrame], folder: str, write: bool = True) -> dict
     fs.delete(staging, True)
     for name, df in tables.items():
         df.write.parquet(f"{staging.toString()}/{name}")
+    if check is not None:
+        try:
+            check(open_store(spark, staging.toString(), list(tables)))
+        except Exception:
+            fs.delete(staging, True)
+            raise
     fs.delete(place, True)
     fs.rename(staging, place)
     return paths
@@ -36,15 +47,30 @@ def _field(v) -> str:
     return '"' + s.replace('"', '""') + '"' if any(c in s for c in '\t\r\n"') else s
 
 
+def written(spark: SparkSession, path: str, parts: Iterable[str]) -> str:
+    """One text file on any file system that the session knows, streamed from the driver in pieces."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(where, True)
+    held: list[str] = []
+    size = 0
+    try:
+        for part in parts:
+            held.append(part)
+            size += len(part)
+            if size > 1 << 20:
+                out.write(bytearray("".join(held).encode("utf-8")))
+                held, size = [], 0
+        out.write(bytearray("".join(held).encode("utf-8")))
+    finally:
+        out.close()
+    return path
+
+
 def tsv(df: DataFrame, path: str, columns: list[str] | None = None, end: str = "\r\n") -> str:
     """One delimited file with a header, minimal quoting and rows in the frame's order, streamed through the driver (SK9, SK16, SK18)."""
     columns = columns or df.columns
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    with open(path, "w", encoding="utf-8", newline="") as out:
-        out.write("\t".join(map(_field, columns)) + end)
-        for row in df.select(*columns).toLocalIterator():
-            out.write("\t".join(_field(v) for v in row) + end)
-    return path
+    rows = ("\t".join(_field(v) for v in row) + end for row in df.select(*columns).toLocalIterator())
+    return written(df.sparkSession, path, chain(["\t".join(map(_field, columns)) + end], rows))
 
 
 def index_tsv(index: DataFrame, path: str) -> str:
@@ -53,7 +79,7 @@ def index_tsv(index: DataFrame, path: str) -> str:
 
 def table_folder(df: DataFrame, path: str, **options) -> None:
     """The same at scale: a folder of delimited parts in sorted ranges, written by the executors."""
-    df.write.mode("overwrite").options(sep="\t", header=True, **options).csv(path)
+    df.write.mode("overwrite").options(**({"sep": "\t", "header": True, "escape": '"'} | options)).csv(path)
 
 
 def script(payload, path: str, variable: str, event: str | None = None) -> str:
@@ -86,11 +112,33 @@ def audit_markdown(results: list[dict], severities: dict[str, int], path: str, m
 
 
 def audit_json(results: list[dict], severities: dict[str, int], path: str) -> str:
-    """The same as JSON, two spaces, other scripts kept (SK11)."""
-    Path(path).write_text(json.dumps({"selected_checks": [r["name"] for r in results], "severity_counts": severities, "results": results}, ensure_ascii=False, indent=2), encoding="utf-8")
+    """The same as JSON, other scripts kept, with every issue of every check (SK11): the issues are streamed from their frames in
+    order, so the driver holds none of them."""
+    from corpusloom.plans.audit import in_order
+
+    dump = lambda x: json.dumps(x, ensure_ascii=False, indent=2)
+
+    def parts() -> Iterable[str]:
+        yield '{\n"selected_checks": ' + dump([r["name"] for r in results]) + ',\n"severity_counts": ' + dump(severities) + ',\n"results": ['
+        for k, r in enumerate(results):
+            yield ("," if k else "") + '\n{"name": ' + dump(r["name"]) + ', "summary": ' + dump(r["summary"]) + ', "issue_count": ' + dump(r["issue_count"]) + ', "issues": ['
+            every = (x.asDict() for x in r["found"].orderBy(*in_order(r["found"])).toLocalIterator()) if "found" in r else iter(r["issues"])
+            for i, x in enumerate(every):
+                yield ("," if i else "") + "\n" + dump(x)
+            yield "]}"
+        yield "]}\n"
+
+    with open(path, "w", encoding="utf-8") as out:
+        out.writelines(parts())
     return path
 
 
+def audit_issues(found: DataFrame, folder: str) -> str:
+    """All issues as a folder of JSON lines, written by the executors, for audits of large stores (SK11)."""
+    found.write.mode("overwrite").json(folder)
+    return folder
+
+
 def validation_markdown(report: dict, path: str) -> str:
     """The comparison of two index versions as a report (SK12)."""
     out = ["# Index validation", "", "## Row counts", f"- exported rows: {report['rows'][0]}", f"- former rows: {report['rows'][1]}", "", "## Headers", f"- exported header matches: {report['same_header']}", "",
