@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 
 def keyed_difference(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -42,6 +42,36 @@ def moved_and_missing(a: DataFrame, b: DataFrame, group: str, title: str, order:
     return only.join(to, title, "left").select(*a.columns, "moved_to", F.when(F.col("moved_to").isNull(), "missing").otherwise("moved").alias("status"))
 
 
+def moved_within(df: DataFrame, listing: str, group: str, title: str, order: str) -> DataFrame:
+    """As ``moved_and_missing`` for two listings in one table (``listing`` 0 against 1). Titles are aggregated once for both
+    listings, by title and group and then by title, and rows of the first listing meet the result by equality."""
+    second = F.min(F.when(F.col(listing) == 1, F.col(order)))
+    pairs = df.groupBy(title, group).agg(second.alias("_second"), F.max(F.col(listing) == 0).alias("_first"))
+    there = F.col("_second").isNotNull()
+    to = F.min_by(F.when(there, F.col(group)), F.when(there, F.struct("_second", group))).over(W.partitionBy(title))
+    only = pairs.withColumn("moved_to", to).where("_first and _second is null").select(title, group, "moved_to")
+    rows = df.where(F.col(listing) == 0).drop(listing).join(only, [title, group])
+    return rows.withColumn("status", F.when(F.col("moved_to").isNull(), "missing").otherwise("moved"))
+
+
+def absent(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """Rows whose key the other table lacks (JN8, JN9, JN19)."""
+    return df.join(known.select(key).distinct(), key, "left_anti")
+
+
+def overlap_counts(df: DataFrame, key: str, author: str, origin: str, long_enough: Column) -> DataFrame:
+    """Groups over several origins and the rows beyond the first of each, by name alone (AG11) and by name and author for titles
+    that are long enough (AG12, FI20) where no row has a file name: one scan, one shuffle by key.
+    """
+    one = df.withColumn("_long", long_enough).groupBy(key, author, origin, "_long").agg(F.count("*").alias("n"))
+    both = one.groupBy(key, author, "_long").agg(F.sum("n").alias("n"), F.collect_set(origin).alias("_o"))
+    titles = F.struct(F.sum(F.when(F.col("_long") & (F.size("_o") > 1), 1)).alias("groups"), F.sum(F.when(F.col("_long") & (F.size("_o") > 1), F.col("n") - 1)).alias("removable"))
+    keys = both.groupBy(key).agg(F.sum("n").alias("n"), F.array_distinct(F.flatten(F.collect_list("_o"))).alias("_o"), titles.alias("t"))
+    many = F.size("_o") > 1
+    sums = keys.agg(F.count_if(many).alias("g1"), F.coalesce(F.sum(F.when(many, F.col("n") - 1)), F.lit(0)).alias("r1"), F.coalesce(F.sum("t.groups"), F.lit(0)).alias("g2"), F.coalesce(F.sum("t.removable"), F.lit(0)).alias("r2"))
+    return sums.select(F.explode(F.array(F.struct(F.lit("name").alias("kind"), F.col("g1").alias("groups"), F.col("r1").alias("removable")), F.struct(F.lit("title").alias("kind"), F.col("g2").alias("groups"), F.col("r2").alias("removable")))).alias("x")).select("x.*")
+
+
 def gap_listing(moved: DataFrame, group: str, title: str) -> DataFrame:
     """The rows of ``moved_and_missing`` as a report lists them: moved ones by title, then missing ones by group, as one range
     sort (SO12)."""

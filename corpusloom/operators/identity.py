@@ -105,6 +105,8 @@ def numbered(df: DataFrame, order: list[Column | str], name: str = "row_number")
     return df.withColumn(name, F.row_number().over(W.orderBy(*order)))
 
 
-def samples(df: DataFrame, kind: list[str], order: list[Column | str], most: int = 20) -> DataFrame:
-    """The first rows of each kind (WN9)."""
-    return df.withColumn("_n", F.row_number().over(W.partitionBy(*kind).orderBy(*order))).where(F.col("_n") <= most).drop("_n")
+def samples(df: DataFrame, kind: list[str], order: list[Column | str], most: int = 20, name: str | None = None) -> DataFrame:
+    """The first rows of each kind (WN9), with their places under ``name`` if one is given. Each task keeps the first ones it
+    has before the shuffle (a group limit on the row number)."""
+    out = df.withColumn("_n", F.row_number().over(W.partitionBy(*kind).orderBy(*order))).where(F.col("_n") <= most)
+    return out.withColumnRenamed("_n", name) if name else out.drop("_n")

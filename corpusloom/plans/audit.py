@@ -154,9 +154,14 @@ def core_field_quality(ctx: AuditContext) -> tuple[DataFrame, DataFrame]:
     return union(parts), melted(sums)
 
 
+def counts_by(df: DataFrame, by: list[str], **flags: Column) -> DataFrame:
+    """Rows of each group, and those of them for which a flag holds (AG2, AG3)."""
+    return df.groupBy(*by).agg(F.count("*").alias("n"), *[F.count_if(F.coalesce(x, F.lit(False))).alias(k) for k, x in flags.items()])
+
+
 def deferred_field_status(ctx: AuditContext) -> tuple[DataFrame, DataFrame]:
     """Documents and flagged documents by source (CK9, AG3)."""
-    by = ctx.documents.groupBy("source_root").agg(F.count("*").alias("n"), F.count_if("affiliated").alias("f"))
+    by = counts_by(ctx.documents, ["source_root"], f=F.col("affiliated"))
     return no_issues(ctx), by.select(F.explode(F.array(F.struct(F.concat(F.lit("documents."), "source_root").alias("key"), F.col("n").alias("value")), F.struct(F.concat(F.lit("affiliated."), "source_root").alias("key"), F.col("f").alias("value")))).alias("p")).select("p.key", "p.value")
 
 

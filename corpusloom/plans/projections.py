@@ -85,11 +85,16 @@ def payload(rows: DataFrame) -> DataFrame:
     return out.select(F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("generated_at"), "row_count", "rows")
 
 
+def coverage(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows, and the filled values of each column (AG8)."""
+    return df.agg(F.count("*").alias("n"), *[F.count_if(clean(c) != "").alias(f"n_{c}") for c in columns])
+
+
 def compare(exported: DataFrame, former: DataFrame, most: int = 20) -> dict:
     """Row counts, headers, types, coverage and keyed differences of two versions (CK16, AG8-AG10, ST1, SO10)."""
     def facts(df: DataFrame) -> tuple:
-        one = df.agg(F.count("*").alias("n"), *[F.count_if(clean(c) != "").alias(c) for c in ("subject", "category")]).first()
-        return one["n"], {c: one[c] for c in ("subject", "category")}, {r["entry_type"]: r["count"] for r in df.groupBy(F.coalesce("entry_type", F.lit("")).alias("entry_type")).count().orderBy("entry_type").collect()}
+        one = coverage(df, ["subject", "category"]).first()
+        return one["n"], {c: one[f"n_{c}"] for c in ("subject", "category")}, {r["entry_type"]: r["count"] for r in df.groupBy(F.coalesce("entry_type", F.lit("")).alias("entry_type")).count().orderBy("entry_type").collect()}
 
     a, b = facts(exported), facts(former)
     apart = keyed_difference(former, exported, INDEX_KEY)

@@ -7,58 +7,17 @@ registry, ``conversations`` assets by role (turn 0 primary, turn 1 mirror), ``or
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.functions import text as X
+from corpusloom.functions.python import folded_title
 from corpusloom.operators import diff, identity, legacy, registry, search
-from corpusloom.plans.audit import issue, missing, severity_counts, union
-from corpusloom.plans.projections import featured, source_label
+from corpusloom.plans.audit import counts_by, issue, missing, severity_counts, union
+from corpusloom.plans.projections import coverage, featured, source_label
+from corpusloom.plans.registered import AFFILIATED, BARE, HOST, NORM, ORACLES, PAGE_NAME, PAGE_STEM, PAPERS, QUERIES, S, SLUG, SPACE, c, digest, query, t
 from corpusloom.settings import Settings
 from corpusloom.sources.readers import SearchRequest
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-S = Settings()
-
-
-def query(sql: str | None):
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
-
-def t(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
-
-
-c = F.col
-
-
-def digest(name: str):
-    """A text as a key: 32 bytes are shuffled and compared instead of the text."""
-    return F.unhex(F.sha2(name, 256)).alias(name)
-
-
-# SQL pieces: the same patterns on both sides
-BARE = r"regexp_replace(regexp_replace(regexp_replace({0}, '[?#].*$', ''), '^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/]*)?', ''), ';[^/]*$', '')"
-BASE = "regexp_extract(" + BARE + ", '([^/]*)/*$', 1)"
-STEM = r"coalesce(nullif(regexp_extract({0}, '^(.+)\.[^.]+$', 1), ''), {0})"
-HOST = r"lower(regexp_extract({0}, '^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)', 1))"
-SLUG = "coalesce(nullif(trim(regexp_replace(lower({0}), '[^a-z0-9]+', '-', 'g'), '-'), ''), 'untitled')"
-PAGE_NAME = BASE.format("url")
-PAGE_STEM = STEM.format(PAGE_NAME)
-AFFILIATED = "exists (select 1 from benchmark b where ltrim(b.text, '$') <> '' and contains(d.text, ltrim(b.text, '$')))"
-NORM = "regexp_replace(lower({0}), '[^a-z0-9]', '', 'g')"
-SPACE = "regexp_replace(trim(lower({0})), '\\s+', ' ', 'g')"
-
-
 def affiliated_docs(spark, d) -> DataFrame:
     return registry.flagged(t(spark, d, "documents"), t(spark, d, "benchmark").select(c("text").alias("entry")), ["text"])
 
@@ -130,9 +89,8 @@ def q08_keep_first(spark, d):
 
 @query("select user_id, event_type, event_id, value from (select *, row_number() over (partition by user_id, event_type order by ts desc, event_id desc) as k from events) where k = 1")
 def q09_keep_last(spark, d):
-    """Last event of a user and type (WN3): max_by, so the maps combine before the shuffle."""
-    e = t(spark, d, "events").groupBy("user_id", "event_type").agg(F.max_by(F.struct("event_id", "value"), F.struct("ts", "event_id")).alias("e"))
-    return e.select("user_id", "event_type", "e.event_id", "e.value")
+    """Last event of a user and type (WN3)."""
+    return identity.keep_last(t(spark, d, "events"), ["user_id", "event_type"], ["ts", "event_id"], ["event_id", "value"])
 
 
 @query("select doc_id, lang, source from (select *, row_number() over (partition by text order by case when lang = 'en' then 1 else 0 end desc, doc_id) as k from documents) where k = 1")
@@ -175,7 +133,7 @@ def q14_inventory_counts(spark, d):
 def q15_group_count_if(spark, d):
     """Counts and conditional counts by group (AG2, AG3)."""
     rows = t(spark, d, "documents").select("doc_id", "source", "lang").join(t(spark, d, "labels"), "doc_id", "left")
-    return rows.groupBy("source", "lang").agg(F.count("*").alias("n"), F.count_if(F.coalesce(c("toxic") == 1, F.lit(False))).alias("n_flagged"), F.count_if(F.coalesce(c("quality") == 1, F.lit(False))).alias("n_good"))
+    return counts_by(rows, ["source", "lang"], n_flagged=c("toxic") == 1, n_good=c("quality") == 1)
 
 
 FLOAT = r"'^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$'"
@@ -249,22 +207,21 @@ def q22_missing_and_orphan(spark, d):
     labels = t(spark, d, "labels").select(c("doc_id").alias("id"))
     a = t(spark, d, "documents").select(F.lit("missing").alias("kind"), c("doc_id").alias("id"))
     b = t(spark, d, "pages").select(F.lit("orphan").alias("kind"), c("page_id").alias("id"))
-    return a.unionByName(b).join(labels, "id", "left_anti").select("kind", "id")
+    return diff.absent(a.unionByName(b), labels, "id").select("kind", "id")
 
 
-@query("""(select 'missing' as side, doc_id::varchar as id, lang from (select doc_id, lang from documents where doc_id % 2 = 0 except select doc_id, lang from documents where doc_id % 3 = 0))
-  union all select 'extra', doc_id::varchar, lang from (select doc_id, lang from documents where doc_id % 3 = 0 except select doc_id, lang from documents where doc_id % 2 = 0)""")
+@query("""select 'missing' as side, page_id::varchar as id from (select page_id from pages except select doc_id from labels) union all select 'extra', doc_id::varchar from (select doc_id from labels except select page_id from pages)""")
 def q23_keyed_difference(spark, d):
-    """Keys of one version alone, both ways in one shuffle (ST1, ST2, AG10). The two versions are the even ids and those divisible by three."""
-    docs = t(spark, d, "documents").select(c("doc_id").cast("string").alias("id"), "lang", "doc_id")
-    return diff.keyed_difference(docs.where("doc_id % 2 = 0"), docs.where("doc_id % 3 = 0"), ["id", "lang"]).select("side", "id", "lang")
+    """Keys of one version alone, both ways in one shuffle: pages against labels (ST1, ST2, AG10)."""
+    old, new = t(spark, d, "pages").select(c("page_id").cast("string").alias("id")), t(spark, d, "labels").select(c("doc_id").cast("string").alias("id"))
+    return diff.keyed_difference(old, new, ["id"]).select("side", "id")
 
 
 @query("select count(*) as n, count(l.quality) as n_quality, count(l.toxic) as n_toxic, count_if(coalesce(trim(d.source), '') <> '')::bigint as n_source from documents d left join labels l using (doc_id)")
 def q24_coverage_counts(spark, d):
     """Non-blank counts (AG8, AG17)."""
     rows = t(spark, d, "documents").select("doc_id", "source").join(t(spark, d, "labels"), "doc_id", "left")
-    return rows.agg(F.count("*").alias("n"), F.count("quality").alias("n_quality"), F.count("toxic").alias("n_toxic"), F.count_if(X.clean("source") != "").alias("n_source"))
+    return coverage(rows.select(*[c(x).cast("string").alias(x) for x in ("quality", "toxic", "source")]), ["quality", "toxic", "source"])
 
 
 # ---- M5: search
@@ -276,7 +233,6 @@ def _papers(spark, d) -> DataFrame:
     return p.select(c("p_partkey").alias("id"), c("p_name").alias("title"), F.lit("").alias("author"), c("p_type").alias("subject"), c("p_brand").alias("category"), (F.lit(1950) + c("p_size")).cast("string").alias("year"), F.concat(F.lit("Issue-"), (c("p_partkey") % 7).cast("string")).alias("journal"), (c("p_partkey") % 5 == 0).alias("affiliated"), F.lit("").alias("mirror_url"), c("p_retailprice").alias("size"))
 
 
-PAPERS = "papers as (select p_partkey as id, p_name as title, p_type as subject, p_brand as category, (1950 + p_size)::varchar as year, 'Issue-' || (p_partkey % 7) as journal, p_partkey % 5 = 0 as affiliated, p_retailprice as size from part)"
 CONTENT = "lower(title || ' ' || '' || ' ' || subject || ' ' || year || ' ' || journal || ' ' || case when affiliated then 'affiliated mirror' else '' end)"
 
 
@@ -379,21 +335,19 @@ def q36_ordered_patch_rules(spark, d):
     return legacy.patched(rows, [legacy.JournalRule("Brand#1", "a", "Brand#2"), legacy.JournalRule("Brand#2", "e", "Brand#3")], [("o", "Known")]).select("id", "journal", "author")
 
 
-@query(f"""with e as (select distinct {PAGE_NAME} as f from pages where page_id % 10 = 0) select page_id, exists (select 1 from e where f <> '' and (ends_with(url, '/' || f) or url = f)) as affiliated from pages""")
+@query("""select page_id, exists (select 1 from documents d where ends_with(url, '/' || d.doc_id || '.html') or url = d.doc_id || '.html') as affiliated from pages""")
 def q37_suffix_registry_flag(spark, d):
-    """URLs whose last segment is a registry fragment (FI2, UP3). The registry is the names of every tenth page."""
-    pages = t(spark, d, "pages").select("page_id", "url")
-    entries = pages.where("page_id % 10 = 0").select(X.url_basename("url").alias("entry"))
-    return registry.suffix_flagged(pages, entries, ["url"]).select("page_id", "affiliated")
+    """URLs whose last segment is a registry fragment (FI2, UP3). The registry is a file name for each document."""
+    entries = t(spark, d, "documents").select(F.concat(c("doc_id").cast("string"), F.lit(".html")).alias("entry"))
+    return registry.suffix_flagged(t(spark, d, "pages").select("page_id", "url"), entries, ["url"]).select("page_id", "affiliated")
 
 
-@query("""with a as (select c_nationkey::bigint as name, count(*) as bytes from customer group by 1), b as (select s_nationkey::bigint as name, count(*) * 10 as bytes from supplier where s_nationkey % 5 <> 0 group by 1),
-  p as (select coalesce(a.name, b.name) as name, case when b.name is null then 'NEW' when a.name is null then 'ORPHAN' when a.bytes = b.bytes then 'CURRENT' else 'UPDATE' end as action from a full join b on a.name = b.name)
-  select action, count(*) as n, sum(name)::bigint as names from p group by action""")
+@query("""with p as (select coalesce(c_custkey, s_suppkey * 20) as name, case when s_suppkey is null then 'NEW' when c_custkey is null then 'ORPHAN' when c_nationkey % 5 = s_nationkey % 5 then 'CURRENT' else 'UPDATE' end as action
+  from customer full join supplier on c_custkey = s_suppkey * 20) select action, count(*) as n, sum(name)::bigint as names from p group by action""")
 def q38_sync_plan(spark, d):
-    """Two inventories compared by name and size (JN20, AG18)."""
-    a = t(spark, d, "customer").groupBy(c("c_nationkey").cast("bigint").alias("name")).agg(F.count("*").alias("bytes"))
-    b = t(spark, d, "supplier").where("s_nationkey % 5 <> 0").groupBy(c("s_nationkey").cast("bigint").alias("name")).agg((F.count("*") * 10).alias("bytes"))
+    """Two inventories compared by name and size: all customers against all suppliers (JN20, AG18)."""
+    a = t(spark, d, "customer").select(c("c_custkey").alias("name"), (c("c_nationkey") % 5).alias("bytes"))
+    b = t(spark, d, "supplier").select((c("s_suppkey") * 20).alias("name"), (c("s_nationkey") % 5).alias("bytes"))
     return diff.inventory_diff(a, b, ["name"]).groupBy("action").agg(F.count("*").alias("n"), F.sum("name").alias("names"))
 
 
@@ -420,8 +374,8 @@ def q40_right_merge_null_safe(spark, d):
   select doc_id, source, moved_to, case when moved_to is null then 'missing' else 'moved' end as status from o left join f using (title)""")
 def q41_moved_vs_missing(spark, d):
     """Rows that the other listing has under another journal, and those it lacks (JN16, JN17, FN12). The listings are even and odd ids."""
-    rows = t(spark, d, "documents").select("doc_id", "source", F.md5(X.norm_space("text")).alias("title"))
-    return diff.moved_and_missing(rows.where("doc_id % 2 = 0"), rows.where("doc_id % 2 = 1"), "source", "title", "doc_id").drop("title")
+    rows = t(spark, d, "documents").select("doc_id", "source", digest(X.norm_space("text"), "title"), (c("doc_id") % 2).alias("listing"))
+    return diff.moved_within(rows, "listing", "source", "title", "doc_id").drop("title")
 
 
 @query(f"""with n as (select {NORM.format('text')} as k, source, lang from documents), g as (select k, count(*) as n from n where k <> '' group by k having count(distinct source) > 1),
@@ -429,11 +383,9 @@ def q41_moved_vs_missing(spark, d):
   select 'name' as kind, count(*) as groups, coalesce(sum(n - 1), 0)::bigint as removable from g union all select 'title', count(*), coalesce(sum(n - 1), 0)::bigint from h""")
 def q42_cross_origin_overlap(spark, d):
     """Rows beyond the first of groups that span origins (AG11, AG12, FI20)."""
-    rows = t(spark, d, "documents").select(F.md5(X.norm_title("text")).alias("k"), F.when(F.length(X.norm_title("text")) >= 15, F.md5(X.norm_title("text"))).otherwise(F.lit("")).alias("title"), "source", "lang", F.lit("").alias("name"), (X.norm_title("text") == "").alias("blank"))
-    one = diff.cross_origin(rows.where("not blank"), "k", "source").agg(F.lit("name").alias("kind"), F.count("*").alias("groups"), F.coalesce(F.sum("removable"), F.lit(0)).alias("removable"))
-    # no row of this table has a file name, so none is caught by it
-    marked = rows.where("title <> ''").groupBy("title", "lang").agg(F.count("*").alias("n"), F.count_distinct("source").alias("origins")).where("origins > 1")
-    return one.unionByName(marked.agg(F.lit("title").alias("kind"), F.count("*").alias("groups"), F.coalesce(F.sum(c("n") - 1), F.lit(0)).alias("removable")))
+    norm = t(spark, d, "documents").select(X.norm_title("text").alias("t"), "source", "lang")
+    rows = norm.select(digest("t", "k"), F.length("t").alias("size"), "source", "lang")
+    return diff.overlap_counts(rows.where("size > 0"), "k", "lang", "source", c("size") >= 15)
 
 
 # ---- further operators of the inventory
@@ -476,8 +428,7 @@ def q47_recent_searches(spark, d):
 @query("""select severity, message, id, place::int as place from (select *, row_number() over (partition by severity, message order by id) as place from (""" + ISSUES + """)) where place <= 20""")
 def q48_issue_samples(spark, d):
     """The first twenty issues of each kind (WN9, SO10)."""
-    rows = q17_issue_rows(spark, d)
-    return rows.withColumn("place", F.row_number().over(W.partitionBy("severity", "message").orderBy("id"))).where("place <= 20")
+    return identity.samples(q17_issue_rows(spark, d), ["severity", "message"], ["id"], 20, "place")
 
 
 @query("""select doc_id, case when doc_id % 3 = 0 then 'main/' || regexp_extract(source || '/' || doc_id || '.pdf', '([^/]*)$', 1) when doc_id % 3 = 1 then 'other/' || doc_id || '.pdf' else '' end as object_key from documents""")
@@ -506,15 +457,12 @@ def q51_titles_by_group(spark, d):
     return diff.titles_by_group(rows, "source", "title").select("source", F.size("titles").cast("bigint").alias("n"), F.array_join("titles", ",").alias("titles"))
 
 
-@query("""with a as (select doc_id, quality from labels where doc_id % 2 = 0), b as (select doc_id, arg_min(quality, doc_id) as old from labels where doc_id % 3 = 0 group by doc_id)
-  select d.doc_id, coalesce(b.old, a.quality)::varchar as size_in_kb from documents d left join b using (doc_id) left join a using (doc_id)""")
+@query("""select d.doc_id, coalesce(l.quality, p_size)::varchar as size_in_kb from documents d left join labels l using (doc_id) left join part on p_partkey = d.doc_id""")
 def q52_sizes_from_before(spark, d):
-    """Former sizes by key, else probed ones (JN13, SC26, UP6)."""
-    labels = t(spark, d, "labels")
-    key = c("doc_id").cast("string").alias("url")
-    docs = t(spark, d, "documents").select("doc_id", key)
-    former = labels.where("doc_id % 3 = 0").select(key, c("quality").cast("string").alias("size_in_kb"), c("doc_id").alias("ordinal"))
-    probed = labels.where("doc_id % 2 = 0").select(key, (c("quality") * 1024).alias("bytes"))
+    """Former sizes by key from all labels, else probed ones from all parts (JN13, SC26, UP6)."""
+    docs = t(spark, d, "documents").select("doc_id", c("doc_id").cast("string").alias("url"))
+    former = t(spark, d, "labels").select(c("doc_id").cast("string").alias("url"), c("quality").cast("string").alias("size_in_kb"), c("doc_id").alias("ordinal"))
+    probed = t(spark, d, "part").select(c("p_partkey").cast("string").alias("url"), (c("p_size") * 1024).alias("bytes"))
     return legacy.with_sizes(docs, former, probed).select("doc_id", "size_in_kb")
 
 
@@ -525,22 +473,22 @@ def q53_clean_number(spark, d):
     return t(spark, d, "part").select(c("p_partkey").alias("id"), X.clean_number(raw).alias("cleaned"))
 
 
-@query("select c_custkey as id, 'true' as affiliated from customer where c_nationkey % 2 = 0 union all select s_suppkey, 'false' from supplier where s_nationkey not in (select c_nationkey from customer where c_nationkey % 2 = 0)")
+@query("select c_custkey as id, 'true' as affiliated from customer union all select s_suppkey * 20, 'false' from supplier where s_suppkey * 20 not in (select c_custkey from customer)")
 def q54_union_and_new_entries(spark, d):
     """Rows of one table and what another adds to them (JN19, ST3, ST4, ST7)."""
-    a = t(spark, d, "customer").where("c_nationkey % 2 = 0")
-    b = t(spark, d, "supplier").join(a.select(c("c_nationkey").alias("s_nationkey")).distinct(), "s_nationkey", "left_anti")
-    return a.select(c("c_custkey").alias("id"), F.lit("true").alias("affiliated")).unionByName(b.select(c("s_suppkey").alias("id"), F.lit("false").alias("affiliated")))
+    a = t(spark, d, "customer").select(c("c_custkey").alias("id"), F.lit("true").alias("affiliated"))
+    b = t(spark, d, "supplier").select((c("s_suppkey") * 20).alias("id"), F.lit("false").alias("affiliated"))
+    return a.unionByName(diff.absent(b, a, "id"))
 
 
-@query(None)
+@query("select doc_id, md5(regexp_replace(lower(strip_accents(text)), '[^a-z0-9]', '', 'g')) as folded_md5 from documents")
 def q55_accent_fold(spark, d):
-    """Titles without accents, letters and digits only (FN11); tests hold it against the Unicode tables."""
-    from corpusloom.functions.python import folded_title
-
+    """Titles without accents, letters and digits only (FN11); tests hold it against the Unicode tables, too."""
     return t(spark, d, "documents").select("doc_id", F.md5(folded_title("text")).alias("folded_md5"))
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     return q01_index_projection(spark, d)
 
+
+from corpusloom.plans import catalogue as _catalogue  # noqa: E402, F401  its queries register themselves

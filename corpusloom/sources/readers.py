@@ -10,7 +10,7 @@ from urllib.parse import parse_qs
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from corpusloom.functions.text import clean, py_strip
-from corpusloom.operators.identity import with_ordinal
+from corpusloom.operators.identity import keep_last, with_ordinal
 from corpusloom.schemas import INVENTORY, text_table
 from corpusloom.settings import Settings
 
@@ -93,7 +93,12 @@ def enrichment(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     if not exists(spark, path):
         return spark.createDataFrame([], shape)
     rows = tsv(spark, path, ordinal=True).select(*[F.coalesce(k, F.lit("")).alias(k) for k in [*keys, "subject", "category"]], "ordinal")
-    return rows.groupBy(*keys).agg(F.max_by(F.struct("subject", "category"), "ordinal").alias("e")).select(*keys, "e.subject", "e.category")
+    return last_by_key(rows, keys)
+
+
+def last_by_key(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """subject and category of the last row of each key, by ordinal (SC10, WN3)."""
+    return keep_last(rows, keys, ["ordinal"], ["subject", "category"])
 
 
 def constant_lookup(spark: SparkSession, rows: tuple, keys: list[str]) -> DataFrame:
