@@ -12,20 +12,26 @@ _OWN: list[tuple[SparkSession, str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir`` of the session, or one of our own where it is unset."""
+    """The folder that all executors share: ``spark.checkpoint.dir`` of the session; one of our own where it is unset and all runs
+    on this machine."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="corpusloom-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def _drop_stored() -> None:
     for spark, path in _OWN:
         try:
-            jvm = spark.sparkContext._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+            _delete(spark, path)
         except Exception:  # noqa: BLE001  the session is gone: its folder is the cluster's to clean
             pass
     _OWN.clear()
@@ -35,12 +41,25 @@ atexit.register(_drop_stored)
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder in the shared one; it is deleted when the driver ends."""
+    """A fresh folder in the shared one; it is deleted when the driver ends, or by ``freed``."""
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     _OWN.append((spark, path))
     return path
 
 
+def mark() -> int:
+    """The number of folders so far, for ``freed``."""
+    return len(_OWN)
+
+
+def freed(since: int, but: int = 0) -> None:
+    """Delete the folders made since a mark, but for the last ``but`` ones: nothing reads them any more."""
+    gone = _OWN[since : len(_OWN) - but]
+    del _OWN[since : len(_OWN) - but]
+    for spark, path in gone:
+        _delete(spark, path)
+
+
 def stored(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends here, so a lost executor costs nothing above it."""
     path = new_folder(df.sparkSession, name)
@@ -58,9 +77,16 @@ def width(spark: SparkSession) -> int:
 
 def set_aside(df: DataFrame, *reserved: str) -> tuple[DataFrame, list]:
     """``df`` with the columns renamed that an operator uses for itself (names differ in more than case), and the columns that
-    give the old frame back."""
-    taken = {r.lower() for r in reserved}
-    away = {c: f"_own_{c}" for c in df.columns if c.lower() in taken}
+    give the old frame back. The new names are none of the frame's and none of the reserved ones, whatever these are."""
+    taken, names = {r.lower() for r in reserved}, {c.lower() for c in df.columns}
+    away: dict[str, str] = {}
+    for c in df.columns:
+        if c.lower() in taken:
+            new = f"_own_{c}"
+            while new.lower() in names | taken:
+                new = f"_{new}"
+            names.add(new.lower())
+            away[c] = new
     return df.withColumnsRenamed(away), [F.col(f"`{away.get(c, c)}`").alias(c) for c in df.columns]
 
 
@@ -69,34 +95,43 @@ def crc_of_id(col: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")))
 
 
-def spread_join(edges: DataFrame, low: DataFrame, salts: int = 8) -> DataFrame:
-    """``edges(a, b)`` with the one row of ``low(a, m)`` for each a: a hub's edges are dealt over salts, its row goes to each."""
-    salt = F.pmod(F.xxhash64("b"), F.lit(salts)).cast("int")
-    every = low.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
-    return edges.withColumn("_salt", salt).join(every, ["a", "_salt"]).drop("_salt")
+HUB = 65_536
+
+
+def hub_join(edges: DataFrame, low: DataFrame, hubs: bool) -> DataFrame:
+    """``edges(a, b)`` with m of the one row of ``low(a, m, n)`` for each a, where n is the number of its edges. Nodes of more than 65,536
+    edges are broadcast (at most one for each 65,536 edges there are), so a hub's edges never meet in one task; the others are
+    joined by equality."""
+    if not hubs:
+        return edges.join(low.select("a", "m"), "a")
+    big = low.where(F.col("n") > HUB).select("a", "m")
+    rest = edges.join(F.broadcast(big.select("a")), "a", "left_anti").join(low.where(F.col("n") <= HUB).select("a", "m"), "a")
+    return edges.join(F.broadcast(big), "a").unionByName(rest)
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root) for each node of ``edges(a, b)``; root is the smallest node of its component.
 
-    Alternating large-star and small-star rounds. A round is two aggregations with map-side combine and two joins whose
-    keys are salted, so a hub with very many links neither meets in one task nor reaches the driver. Each round
-    is stored; the rounds end when the set of edges no longer changes (count and order-free checksum).
+    Alternating large-star and small-star rounds. A round is two aggregations with map-side combine and two joins that take
+    hubs apart, so a hub with very many links neither meets in one task nor reaches the driver. Each round
+    is stored; the rounds end when the set of edges no longer changes (count and order-free checksum). Their number grows with the
+    logarithm of the longest path; after ``max_rounds`` an error is raised.
     """
-    mark = lambda d: d.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
+    sum_of = lambda d: d.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
     now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    before = mark(now)
+    before = sum_of(now)
     for _ in range(max_rounds):
         if not before["n"]:
             break
         both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = spread_join(both.where("b > a"), low).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        hubs = before["n"] > HUB
+        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n"))
+        large = hub_join(both.where("b > a"), low, hubs).select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = stored(large.where("a <> b").distinct(), "large")
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = spread_join(large, low).select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.*")
+        low = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        small = hub_join(large, low, hubs).select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.*")
         now = stored(small.where("a <> b").distinct(), "small")
-        after = mark(now)
+        after = sum_of(now)
         if after == before:
             break
         before = after
