@@ -9,11 +9,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.llm.arrow import rows_of
-from corpusloom.llm.common import load
+from corpusloom.llm.common import load, stored
 
 WINDOW = 10
 BENCH_MB = 16
 PIECE = SPAN = 1 << 20
+LONG = 4
 _LOW = np.zeros(256, np.uint8)
 for _b in range(256):
     if 48 <= _b <= 57 or 97 <= _b <= 122 or _b >= 128:
@@ -77,53 +78,73 @@ def rolled(h: np.ndarray, length: int) -> np.ndarray:
 
 
 class Windows:
-    """All windows of test items: 64-bit hashes by length for the scan, and the words themselves to verify a hit."""
-
-    def __init__(self, items: list[tuple[str, str]], window: int = WINDOW):
-        self.exact: dict[bytes, tuple[str, ...]] = {}
-        hashes: dict[int, set[int]] = {}
-        for item, text in items:
-            raw = np.frombuffer((text or "").encode(), np.uint8)
-            low, s, e, _, h = words(np.array([0, len(raw)], np.int64), raw)
-            length = min(window, len(s))
-            if not length:
-                continue
-            joined = low.tobytes()
-            spelt = [joined[a:b] for a, b in zip(s, e)]
-            for i, x in enumerate(rolled(h, length)):
-                hashes.setdefault(length, set()).add(int(x))
-                key = b" ".join(spelt[i : i + length])
-                if item not in self.exact.get(key, ()):
-                    self.exact[key] = (*self.exact.get(key, ()), item)
+    """All windows of test items in arrays, sorted by length and hash: the hash, the place of the words in the lower-cased test
+    bytes to verify a hit, and the item. 20 bytes a window and the test bytes once: no Python object for a window."""
+
+    def __init__(self, items: list[tuple[str | None, str]], window: int = WINDOW):
+        self.items = sorted({item for item, _ in items if item is not None})
+        place = {item: k for k, item in enumerate(self.items)}
+        lows, found, at, base = [], {}, 0, 0
+        while at < len(items):  # some items at a time: the arrays of ``words`` are many times the text
+            size, end = 0, at
+            while end < len(items) and (end == at or size < PIECE):
+                size += len(items[end][1] or "")
+                end += 1
+            raw = [(text or "").encode() for _, text in items[at:end]]
+            offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
+            low, s, e, row, h = words(offsets, np.frombuffer(b"".join(raw), np.uint8))
+            n = np.bincount(row, minlength=len(raw))
+            own = np.array([-1 if item is None else place[item] for item, _ in items[at:end]], np.int32)
+            for length in set(np.minimum(n[n > 0], window).tolist()):
+                x = rolled(h, length)
+                some = np.flatnonzero((row[: len(x)] == row[length - 1 :]) & (np.minimum(n, window)[row[: len(x)]] == length)) if len(x) else np.zeros(0, np.int64)
+                found.setdefault(length, []).append((x[some], (base + s[some]).astype(np.int32), (base + e[some + length - 1]).astype(np.int32), own[row[some]]))
+            lows.append(low.tobytes())
+            base += len(low)
+            at = end
+        self.text = b"".join(lows)
         self.by_length = {}
-        for length, found in sorted(hashes.items()):
+        for length, parts in sorted(found.items()):
+            h, start, stop, item = (np.concatenate(p) for p in zip(*parts))
+            order = np.argsort(h, kind="stable")
+            h = h[order]
             seen = np.zeros(1 << 20, bool)
-            table = np.array(sorted(found), np.uint64)
-            seen[(table >> np.uint64(44)).astype(np.int64)] = True
-            self.by_length[length] = (table, seen)
+            seen[(h >> np.uint64(44)).astype(np.int64)] = True
+            self.by_length[length] = (h, seen, start[order], stop[order], item[order])
+        self.longest = max(self.by_length, default=1)
+
+    @staticmethod
+    def spelt(raw: bytes) -> list[bytes]:
+        """The words of lower-cased bytes."""
+        return raw.replace(b"\0", b" ").split()
 
-    def scan(self, offsets: np.ndarray, data: np.ndarray):
+    def scan(self, offsets: np.ndarray, data: np.ndarray, cut: bool = True):
         """(words of each text, covered words as (row, first, last, first byte, end byte), items by row)."""
+        if cut and len(offsets) == 2 and len(data) > LONG * PIECE:
+            return self._scan_long(data)
         low, s, e, row, h = words(offsets, data)
         n = np.bincount(row, minlength=len(offsets) - 1)
         base = np.concatenate([[0], np.cumsum(n)])
         depth = np.zeros(len(s) + 1, np.int64)
         items: dict[int, set[str]] = {}
         raw = None
-        for length, (table, seen) in self.by_length.items():
+        for length, (table, seen, start, stop, item) in self.by_length.items():
             if len(s) < length:
                 continue
             x = rolled(h, length)
             at = np.flatnonzero(seen[(x >> np.uint64(44)).astype(np.int64)] & (row[: len(x)] == row[length - 1 :]))
             near = np.searchsorted(table, x[at])
-            at = at[table[np.minimum(near, len(table) - 1)] == x[at]]
-            for i in at.tolist():
+            there = table[np.minimum(near, len(table) - 1)] == x[at]
+            at, near = at[there], near[there]
+            ends = np.searchsorted(table, x[at], "right")
+            for i, first, last in zip(at.tolist(), near.tolist(), ends.tolist()):
                 raw = low.tobytes() if raw is None else raw
-                key = b" ".join(raw[s[j] : e[j]] for j in range(i, i + length))
-                if found := self.exact.get(key):
+                mine = self.spelt(raw[s[i] : e[i + length - 1]])
+                hit = [k for k in range(first, last) if self.spelt(self.text[start[k] : stop[k]]) == mine]
+                if hit:
                     depth[i] += 1
                     depth[i + length] -= 1
-                    items.setdefault(int(row[i]), set()).update(found)
+                    items.setdefault(int(row[i]), set()).update(self.items[item[k]] for k in hit if item[k] >= 0)
         covered = np.flatnonzero(np.cumsum(depth[:-1]) > 0)
         spans = []
         if len(covered):
@@ -133,6 +154,27 @@ class Windows:
                 spans.append((r, int(run[0] - base[r]), int(run[-1] - base[r]), int(s[run[0]] - offsets[r]), int(e[run[-1]] - offsets[r])))
         return n, spans, items
 
+    def _scan_long(self, data: np.ndarray):
+        """One long text in pieces that end between words; the last words of a piece go before the next one, so no window is lost."""
+        count, spans, items, at, back = 0, [], set(), 0, 0
+        while at < len(data):
+            end = at + PIECE
+            while end < len(data) and _LOW[data[end]]:
+                end += 1
+            end = min(end, len(data))
+            piece = data[at - back : end]
+            offsets = np.array([0, len(piece)], np.int64)
+            n, own, found = self.scan(offsets, piece, cut=False)
+            _, s, _, _, _ = words(offsets, piece)
+            before = count - int(np.searchsorted(s, back))
+            spans += [(first + before, last + before, start + at - back, stop + at - back) for _, first, last, start, stop in own]
+            items |= found.get(0, set())
+            count = before + int(n[0])
+            keep = min(self.longest - 1, len(s))
+            back = len(piece) - int(s[len(s) - keep]) if keep else 0
+            at = end
+        return np.array([count]), [(0, *x) for x in merged(spans)], {0: items} if items else {}
+
 
 STATE = "n_words long, spans array<struct<first:int,last:int,start:int,stop:int>>, items array<string>"
 _SPAN = pa.struct([("first", pa.int32()), ("last", pa.int32()), ("start", pa.int32()), ("stop", pa.int32())])
@@ -150,11 +192,6 @@ def _scanning(shared, keep_text: bool, text: str):
                 found = [sorted(items.get(r, ())) for r in range(len(n))]
                 names = part.schema.names
                 cols = {c: part.column(i) for i, c in enumerate(names)}
-                if "items" in cols:  # an earlier block of items has been here
-                    for r, (old, old_items) in enumerate(zip(cols["spans"].to_pylist(), cols["items"].to_pylist())):
-                        if old:
-                            of_row[r] = merged([*of_row[r], *((x["first"], x["last"], x["start"], x["stop"]) for x in old)])
-                            found[r] = sorted({*found[r], *old_items})
                 cols["n_words"] = pa.array(n, pa.int64())
                 cols["spans"] = pa.array([[dict(zip(("first", "last", "start", "stop"), x)) for x in row] for row in of_row], pa.list_(_SPAN))
                 cols["items"] = pa.array(found, pa.list_(pa.string()))
@@ -177,29 +214,58 @@ def merged(spans: list[tuple]) -> list[tuple]:
     return out
 
 
-def hits(docs: DataFrame, bench: DataFrame, window: int = WINDOW, most_mb: float = BENCH_MB, keep_text: bool = False, text: str = "text") -> DataFrame:
+def _state(docs: DataFrame, shared, keep_text: bool, text: str) -> DataFrame:
+    kept = [f for f in docs.schema.fields if f.name not in ("n_words", "spans", "items") and (keep_text or f.name != text)]
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), STATE])
+    return docs.drop("n_words", "spans", "items").mapInArrow(_scanning(shared, keep_text, text), schema)
+
+
+def _uniting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The states of a row from several blocks of items as one."""
+    for batch in batches:
+        spans = [merged([(x["first"], x["last"], x["start"], x["stop"]) for part in row or () for x in part]) for row in batch.column(1).to_pylist()]
+        items = [sorted({x for part in row or () for x in part}) for row in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([[dict(zip(("first", "last", "start", "stop"), x)) for x in row] for row in spans], pa.list_(_SPAN)), pa.array(items, pa.list_(pa.string()))], ["_row", "spans", "items"])
+
+
+def hits(docs: DataFrame, bench: DataFrame, window: int = WINDOW, most_mb: float = BENCH_MB, keep_text: bool = False, text: str = "text", unnamed: str | None = "null") -> DataFrame:
     """``docs`` with n_words, spans (covered words and their bytes) and items (ids of test items with occurring windows).
 
-    The test texts are measured first. Up to ``most_mb`` they are broadcast as one hash set; beyond, they are cut into blocks
-    of that size by hash and the documents pass the blocks one after another, in one job without a shuffle. Every window of
-    every document is hashed in numpy, looked up, and verified by its words. One task holds a piece of about 1 MB of text.
+    The test texts are measured first. Up to ``most_mb`` they are broadcast as one set of sorted hashes with the test bytes;
+    beyond, they are cut into blocks of that size by hash. Then the documents are stored once with a row number, and pass the blocks
+    in jobs of their own, each of which keeps only the rows that are hit, so one block at a time is in memory however many there
+    are. Every window of every document is hashed in numpy, looked up, and verified by its words. Texts are taken in pieces of about
+    1 MB, a longer one in several, cut between words (a word of more than 4 MB stays whole).
 
-    Null or wordless texts have no words and no hits; null or wordless test texts have no windows; a null item id is "null".
-    Repeated items count once; repeated rows keep a result each. Columns n_words, spans and items of ``docs`` are replaced.
+    Null or wordless texts have no words and no hits; null or wordless test texts have no windows; a null item id is listed as
+    ``unnamed``, or not at all where that is None (its windows are hit all the same). An empty table gives an empty one; without
+    test items nothing is hit. Repeated items count once; repeated rows keep a result each. Columns n_words, spans and items
+    of ``docs`` are replaced; others stay.
     """
     spark = docs.sparkSession
     docs = docs.drop("n_words", "spans", "items")
-    bench = bench.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), "text").where("text is not null")
+    bench = bench.select(F.col("item_id").cast("string").alias("item"), "text").where("text is not null")
+    bench = bench.fillna({"item": unnamed}) if unnamed is not None else bench
     size = bench.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-int(size) // int(most_mb * 1e6)))
+    if blocks == 1:
+        return _state(docs, spark.sparkContext.broadcast(Windows([(r["item"], r["text"]) for r in bench.collect()], window)), keep_text, text)
+    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    found = []
     for k in range(blocks):
-        block = bench if blocks == 1 else bench.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
+        block = bench.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
         shared = spark.sparkContext.broadcast(Windows([(r["item"], r["text"]) for r in block.collect()], window))
-        keep = keep_text or k < blocks - 1
-        kept = [f for f in docs.schema.fields if f.name not in ("n_words", "spans", "items") and (keep or f.name != text)]
-        schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), STATE])
-        docs = docs.mapInArrow(_scanning(shared, keep, text), schema)
-    return docs
+        hit = _state(rows.select("_row", text), shared, False, text)
+        found.append(stored(hit.select("_row", "n_words", "spans", "items") if k == 0 else hit.where(F.size("spans") > 0).select("_row", "n_words", "spans", "items"), f"block{k}"))
+        shared.destroy()
+    some = found[0].where(F.size("spans") > 0)
+    for f in found[1:]:
+        some = some.unionByName(f)
+    united = some.groupBy("_row").agg(F.collect_list("spans").alias("spans"), F.collect_list("items").alias("items")).mapInArrow(_uniting, "_row long, " + STATE.split(", ", 1)[1])  # a row's blocks
+    out = rows.join(found[0].select("_row", "n_words"), "_row").join(united, "_row", "left")
+    none = F.from_json(F.lit("[]"), "array<struct<first:int,last:int,start:int,stop:int>>")
+    out = out.withColumn("spans", F.coalesce("spans", none)).withColumn("items", F.coalesce("items", F.array().cast("array<string>"))).drop("_row")
+    return out if keep_text else out.drop(text)
 
 
 def without_spans(hit: DataFrame, text: str = "text") -> DataFrame:
@@ -213,7 +279,7 @@ def without_spans(hit: DataFrame, text: str = "text") -> DataFrame:
 
 def op2_decontamination(spark, sf_dir: str) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every document."""
-    hit = hits(load(spark, sf_dir, "documents").select("doc_id", "text"), load(spark, sf_dir, "benchmark"))
+    hit = hits(load(spark, sf_dir, "documents").select("doc_id", "text"), load(spark, sf_dir, "benchmark"), unnamed=None)
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["last"] - x["first"] + 1)
     return hit.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
