@@ -14,31 +14,39 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.llm.arrow import column_bytes
-from corpusloom.llm.common import load, new_folder, width
+from corpusloom.llm.common import load, new_folder, stored, width
 
 CHUNK = 1 << 16
 LEAST = 100
 DATE = "2024-01-01T00:00:00Z"
 END = "\r\n\r\n"
 START = "WARC/1.1\r\n"
-SALTS = 16
+MOST_SHARED, HOT = 100_000, 10_000
+#: What stands before the payload in a response, as the format asks for.
+HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
 
 def originals(pages: DataFrame, least: int = LEAST, payload: str = "html", key: str = "page_id") -> DataFrame:
     """``pages`` with payload_bytes, payload_digest and refers_to: the smallest page_id of an equal payload of ``least`` bytes
     or more, or null where the row is that one or the payload is smaller.
 
-    Digests are counted with map-side combine; only those of several rows are joined back, over salts, so that a payload of
+    Digests are counted with map-side combine, and only those of several rows are joined back: broadcast up to 100,000 of them
+    (counted), so that payloads aren't shuffled; beyond, over salts that follow the number of rows of a digest, so that a payload of
     a third of all rows doesn't meet in one task. Rows that repeat the smallest page_id are all originals. A null page_id
-    comes before all others, and what equals its payload refers to no record: it stays an original too.
+    names no record: such a row is an original, and what equals its payload refers to the smallest known page_id.
     """
     body = F.coalesce(F.col(payload), F.lit(""))
     rows = pages.withColumn("payload_bytes", F.octet_length(body).cast("long")).withColumn("payload_digest", F.sha2(F.encode(body, "UTF-8"), 256))
-    shared = rows.where(F.col("payload_bytes") >= least).groupBy("payload_digest").agg(F.count("*").alias("_n"), F.min(key).alias("_first"), F.count(key).alias("_known"))
-    shared = shared.where((F.col("_n") > 1) & (F.col("_n") == F.col("_known"))).select("payload_digest", "_first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
-    rows = rows.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int"))
-    rows = rows.join(shared, ["payload_digest", "_salt"], "left")
-    return rows.withColumn("refers_to", F.when(F.col("_first") < F.col(key), F.col("_first"))).drop("_salt", "_first")
+    shared = rows.where(F.col("payload_bytes") >= least).groupBy("payload_digest").agg(F.count(key).alias("_known"), F.min(key).alias("_first")).where(F.col("_known") > 1)
+    shared = stored(shared, "shared")
+    if shared.count() <= MOST_SHARED:
+        met = rows.join(F.broadcast(shared.select("payload_digest", "_first")), "payload_digest", "left")
+    else:
+        hot = shared.where(F.col("_known") > HOT).select(F.col("payload_digest").alias("_hot"), F.ceil(F.col("_known") / HOT).cast("int").alias("_salts"))  # one for each 10,000 rows at most
+        dealt = rows.join(hot, F.col("payload_digest") == F.col("_hot"), "left").withColumn("_salt", F.pmod(F.xxhash64(key, F.monotonically_increasing_id()), F.coalesce("_salts", F.lit(1))).cast("int")).drop("_hot", "_salts")
+        spread = shared.select("payload_digest", "_first", F.explode(F.sequence(F.lit(0), F.ceil(F.col("_known") / HOT).cast("int") - 1)).alias("_salt"))
+        met = dealt.join(spread, ["payload_digest", "_salt"], "left").drop("_salt")
+    return met.withColumn("refers_to", F.when(F.col("_first") < F.col(key), F.col("_first"))).drop("_first")
 
 
 def chunks(rows: DataFrame, chunk: int = CHUNK, payload: str = "html", key: str = "page_id", url: str = "url") -> DataFrame:
@@ -72,7 +80,7 @@ def archive(table: DataFrame, key: str = "page_id", url: str = "url") -> str:
         maybe(F.col(key).isNotNull(), line("X-Page-ID", F.col(key))), line("X-Payload-Length", F.col("payload_bytes")), line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("payload_digest"))),
         maybe(revisit, F.concat(line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")), line("X-Refers-To-Page-ID", F.coalesce(F.col("refers_to").cast("string"), F.lit(""))))),
         maybe(several, F.concat(line("WARC-Segment-Number", F.col("chunk") + 1), maybe(F.col("chunk") > 0, line("WARC-Segment-Origin-ID", F.concat(F.lit("<"), F.col("record_id"), F.lit(">")))), maybe(F.col("chunk") == F.col("n_chunks") - 1, line("WARC-Segment-Total-Length", F.col("payload_bytes"))))),
-        line("Content-Type", F.lit("text/html; charset=utf-8")), line("Content-Length", F.octet_length("data")), F.lit("\r\n"))
+        maybe(F.col("chunk") == 0, line("Content-Type", F.lit("application/http; msgtype=response"))), line("Content-Length", F.octet_length("data") + F.when(F.col("chunk") == 0, len(HTTP)).otherwise(0)), F.lit("\r\n"), maybe(F.col("chunk") == 0, F.lit(HTTP)))
     folder = new_folder(table.sparkSession, "warc")
     table.select(F.concat(head, F.col("data"), F.lit("\r\n")).alias("value")).write.option("lineSep", "\r\n").option("compression", "gzip").text(folder)
     return folder
@@ -90,7 +98,10 @@ def records(spark, folder: str) -> DataFrame:
         field("WARC-Type").alias("kind"), F.coalesce(field("WARC-Segment-Origin-ID"), field("WARC-Record-ID")).alias("record_id"), (F.coalesce(field("WARC-Segment-Number").cast("int"), F.lit(1)) - 1).alias("chunk"),
         field("WARC-Segment-Number").isNotNull().alias("several"), field("X-Page-ID").cast("long").alias("page_id"), field("X-Payload-Length").cast("long").alias("payload_bytes"), F.substring_index(field("WARC-Payload-Digest"), ":", -1).alias("payload_digest"),
         field("X-Refers-To-Page-ID").cast("long").alias("refers_to"), field("WARC-Target-URI").alias("url"), field("Content-Length").cast("long").alias("length"), "rest")
-    return out.withColumn("data", F.when(F.octet_length("rest") > F.col("length"), F.left(F.col("rest"), F.length("rest") - 4)).otherwise(F.col("rest"))).drop("rest", "length")
+    block = F.when(F.octet_length("rest") > F.col("length"), F.left(F.col("rest"), F.length("rest") - 4)).otherwise(F.col("rest"))
+    out = out.withColumn("data", block)
+    http = (F.col("chunk") == 0) & F.startswith("data", F.lit("HTTP/"))  # the head of the response is no part of its payload
+    return out.withColumn("data", F.when(http, F.substring("data", F.locate(END, F.col("data")) + 4, F.lit(2147483647))).otherwise(F.col("data"))).drop("rest", "length")
 
 
 def _digesting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
