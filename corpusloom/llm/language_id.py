@@ -13,7 +13,7 @@ from corpusloom.llm.common import crc_of_id, load
 
 TOP = 300
 PER_LANGUAGE = 1500
-MOST_LANGUAGES = 1000
+MOST_LANGUAGES = 2000
 PIECE = 1 << 20
 EDGE = 1
 _TABLE: list[np.ndarray] = []
@@ -88,21 +88,53 @@ def _leading(found: np.ndarray, count: np.ndarray, top: int) -> np.ndarray:
     return some[np.lexsort((found[some], -count[some]))]
 
 
+def _around(data: np.ndarray, at: int) -> tuple[int, int]:
+    """Where the three characters before and after a place between characters begin and end."""
+    left = right = at
+    for _ in range(3):
+        left = max(left - 1, 0)
+        while left > 0 and data[left] & 0xC0 == 0x80:
+            left -= 1
+        right = min(right + 1, len(data))
+        while right < len(data) and data[right] & 0xC0 == 0x80:
+            right += 1
+    return left, right
+
+
+def _one(data: np.ndarray) -> np.ndarray:
+    return grams(np.array([0, len(data)], np.int64), data)[0]
+
+
 def counts_of_long(data: np.ndarray, piece: int = PIECE) -> tuple[np.ndarray, np.ndarray]:
-    """N-grams of one long text and their counts, in pieces cut where an ASCII character that is no letter stands: no n-gram
-    reaches across, so the counts are those of the whole."""
-    cuts, at = [0], 0
-    gap = np.flatnonzero((data < 65) | ((data > 90) & (data < 97)) | ((data > 122) & (data < 128)))
-    while at < len(data):
-        k = int(np.searchsorted(gap, at + piece))
-        at = int(gap[k]) + 1 if k < len(gap) else len(data)
-        cuts.append(at)
-    found, count = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    for a, b in zip(cuts[:-1], cuts[1:]):
-        f, n = _counted(grams(np.array([0, b - a], np.int64), data[a:b])[0])
+    """N-grams of one long text and their counts, piece by piece. A piece ends where an ASCII character that is no letter stands, if
+    there is one within another half of it: no n-gram reaches across. Else it ends after any character, and the n-grams
+    of the three characters on both sides, together less apart, set right what the cut has changed. So the counts are
+    those of the whole, whatever the script."""
+    found, count, at = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+
+    def add(codes: np.ndarray, sign: int) -> None:
+        nonlocal found, count
+        f, n = _counted(codes)
         both, place = np.unique(np.concatenate([found, f]), return_inverse=True)
-        found, count = both, np.bincount(place, np.concatenate([count, n]), len(both)).astype(np.int64)
-    return found, count
+        found, count = both, np.bincount(place, np.concatenate([count, sign * n]), len(both)).astype(np.int64)
+
+    while at < len(data):
+        end = min(at + piece, len(data))
+        near = data[end : end + piece // 2]
+        gap = np.flatnonzero((near < 65) | ((near > 90) & (near < 97)) | ((near > 122) & (near < 128)))
+        if end < len(data) and len(gap):
+            end += int(gap[0]) + 1
+        else:
+            while end < len(data) and data[end] & 0xC0 == 0x80:
+                end += 1
+        add(_one(data[at:end]), 1)
+        if end < len(data):
+            left, right = _around(data, end)
+            add(_one(data[left:right]), 1)
+            add(_one(data[left:end]), -1)
+            add(_one(data[end:right]), -1)
+        at = end
+    return found[count > 0], count[count > 0]
 
 
 def _counts(lang: str, found: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
@@ -154,17 +186,25 @@ class Profiles:
         return self.languages[best], float(max(0.0, 1 - far[best] / (self.top * len(mine))))
 
 
-def fit(labelled: DataFrame, top: int = TOP, per_language: int = PER_LANGUAGE) -> Profiles:
-    """Profiles from ``labelled(text, lang)``: about ``per_language`` rows a language, chosen by a hash of the text."""
-    labelled = labelled.where("lang is not null and text is not null")
-    have = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+def fit(labelled: DataFrame, top: int = TOP, per_language: int = PER_LANGUAGE, most_languages: int = MOST_LANGUAGES) -> Profiles:
+    """Profiles from ``labelled(text, lang)``: about ``per_language`` different texts a language (all, where it has fewer), chosen by a
+    hash of the text among its different texts, so copies neither crowd a sample nor leave a language out.
+
+    Rows with a null text or language teach nothing; without others nothing is learned. Profiles are broadcast, so more than
+    ``most_languages`` languages are refused with an error, never cut.
+    """
+    labelled = labelled.where("lang is not null and text is not null").select("lang", "text", F.xxhash64("text").alias("h"))
+    have = labelled.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("n")).limit(most_languages + 1).collect()
+    if len(have) > most_languages:
+        raise ValueError(f"more than {most_languages} languages")
     if not have:
         return Profiles({}, top)
-    odds = labelled.sparkSession.createDataFrame([(r["lang"], min(1 << 30, (per_language << 30) // r["count"])) for r in have], "lang string, odds long")
-    some = labelled.join(F.broadcast(odds), "lang").where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.col("odds"))  # at most MOST_LANGUAGES rows
-    counts = some.select("text", "lang").mapInArrow(_counting, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    odds = labelled.sparkSession.createDataFrame([(r["lang"], min(1 << 30, (per_language << 30) // max(r["n"], 1))) for r in have], "lang string, odds long")
+    some = labelled.join(F.broadcast(odds), "lang").where(F.pmod(F.xxhash64("h", F.lit(5)), F.lit(1 << 30)) < F.col("odds"))  # a row for each language
+    once = some.groupBy("lang", "h").agg(F.first("text").alias("text"))
+    counts = once.select("text", "lang").mapInArrow(_counting, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     place = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "code"))
-    rows = counts.withColumn("place", place).where(F.col("place") <= top).orderBy("lang", "place").collect()  # MOST_LANGUAGES x top at most
+    rows = counts.withColumn("place", place).where(F.col("place") <= top).orderBy("lang", "place").collect()  # most_languages x top at most
     ranks: dict[str, list[int]] = {}
     for r in rows:
         ranks.setdefault(r["lang"], []).append(r["code"])
@@ -186,7 +226,8 @@ def identify(docs: DataFrame, profiles: Profiles) -> DataFrame:
     """``docs`` with lang_pred and score from the whole text: no shuffle, one pass.
 
     ``und`` and 0 where the text is null or has no letters, or where nothing could be learned. Columns lang_pred and
-    score of ``docs`` are replaced; repeated rows keep a result each; ties go to the first language by code point.
+    score of ``docs`` are replaced, others stay; repeated rows keep a result each; ties go to the first language by code point.
+    An empty table gives an empty one. Texts of more than 2 MB are counted in pieces of 1 MB.
     """
     docs = docs.drop("lang_pred", "score")
     shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
