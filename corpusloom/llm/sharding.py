@@ -2,19 +2,68 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from collections.abc import Iterator
 
-from corpusloom.llm.common import load, stored, width
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
+
+from corpusloom.llm.common import load, set_aside, stored, width
 
 OVERHEAD = 16
 
 
+def _placing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a range in order, with their place and the bytes up to and with each: one pass that carries two numbers."""
+    rows = size = 0
+    for batch in batches:
+        own = batch.column(batch.schema.get_field_index("_size")).to_numpy()
+        upto = size + np.cumsum(own)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.arange(rows, rows + len(own)), pa.int64()), pa.array(upto, pa.int64())], [*batch.schema.names, "_pos", "_upto"])
+        rows, size = rows + len(own), int(upto[-1]) if len(own) else size
+
+
+def _cut(rows: DataFrame, n_shards: int, order: list[str]) -> DataFrame:
+    """``rows`` with _size and ``order`` columns, and shard and slot of each."""
+    spark = rows.sparkSession
+    n = 2 * width(spark)
+    by = [F.col(c).asc_nulls_first() for c in [*order, "_any"]]
+    dealt = rows.withColumn("_any", F.xxhash64(F.monotonically_increasing_id())).repartitionByRange(n, *by).sortWithinPartitions(*by).drop("_any").withColumn("_range", F.spark_partition_id())
+    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.schema.fields)
+    placed = stored(dealt.mapInArrow(_placing, f"{shape}, _pos long, _upto long"), "placed")
+    totals = placed.groupBy("_range").agg(F.count("*").alias("n"), F.sum("_size").alias("b")).orderBy("_range").collect()  # a row for each range
+    whole = sum(t["b"] for t in totals)
+    offsets, at, size = [], 0, 0
+    for t in totals:
+        offsets.append((t["_range"], at, size))
+        at, size = at + t["n"], size + t["b"]
+    placed = placed.join(F.broadcast(spark.createDataFrame(offsets, "_range int, _row0 long, _byte0 long")), "_range")  # at most 2 x the shuffle partitions
+    middle = (2 * (F.col("_byte0") + F.col("_upto")) - F.col("_size")).cast("decimal(38,0)") * n_shards
+    placed = placed.withColumn("_shard", F.least(F.lit(n_shards - 1), F.floor(middle / F.lit(2 * max(whole, 1)).cast("decimal(38,0)")).cast("int")))
+    counts = {r["_shard"]: r["n"] for r in placed.groupBy("_shard").agg(F.count("*").alias("n")).collect()}  # a row for each shard
+    first, seen = [], 0
+    for k in range(n_shards):
+        first.append((k, seen))
+        seen += counts.get(k, 0)
+    starts = F.broadcast(spark.createDataFrame(first, "_shard int, _first long"))  # a row for each shard
+    return placed.join(starts, "_shard").withColumn("_slot", F.col("_row0") + F.col("_pos") - F.col("_first"))
+
+
+def _sized(docs: DataFrame, text: str) -> DataFrame:
+    return docs.withColumn("_size", F.coalesce(F.octet_length(F.col(text)).cast("long") + OVERHEAD, F.lit(OVERHEAD).cast("long"))).withColumn("_crc", F.crc32(F.coalesce(F.col(text), F.lit(""))))
+
+
+def _digest() -> list:
+    return [F.col("_size").alias("size"), F.col("_crc").alias("text_crc32"), F.lit("bytes").alias("law"), F.col("_shard").alias("shard"), F.col("_slot").alias("slot"), F.lit(None).cast("int").alias("grown_shard")]
+
+
 def shards(docs: DataFrame, n_shards: int = 40, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Give each row of ``docs`` a shard by its place in a global order and the bytes before it.
 
-    The order is (key with nulls first, CRC of the text, size). Rows are dealt into ranges of the key at approximate quantiles;
-    ranges are ranked and summed by themselves, and the totals of all ranges (one row each, bounded by the number of ranges)
-    give every range its offset: no task sees more than its range. A row whose middle byte is at x of a total of T bytes
+    The order is (key with nulls first, CRC of the text, size); the key may be of any type that has an order. Rows are dealt
+    into ranges of this order, with a last column that splits rows alike, so a key or row that makes a third of the table is
+    spread over many ranges. Each range is sorted and summed by itself in one pass, and the totals of all ranges (one row each,
+    bounded by the number of ranges) give every range its offset. A row whose middle byte is at x of a total of T bytes
     goes to shard floor(x * n / T), so each shard differs from T / n by less than its two border rows.
 
     Null text: no bytes, CRC of an empty text, size 16. Null keys come first. Equal keys are ordered by CRC and size, so
@@ -22,47 +71,18 @@ def shards(docs: DataFrame, n_shards: int = 40, key: str = "doc_id", text: str =
     key and text are not read. A null or repeated key never drops a row. Equal texts with different keys (a group) keep
     their own places in the order: under this law a group isn't kept together, for it may be larger than a shard.
     """
-    spark = docs.sparkSession
-    slim = stored(docs.select(F.col(key).alias("doc_id"), F.coalesce(F.octet_length(text).cast("long") + OVERHEAD, F.lit(OVERHEAD).cast("long")).alias("size"), F.crc32(F.coalesce(F.col(text), F.lit(""))).alias("text_crc32")), "sizes")
-    n = 2 * width(spark)
-    cuts = slim.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 20 * n).alias("q")).first()["q"] or []
-    cuts = sorted(set(cuts))
-    rank = F.lit(0)
-    if cuts:
-        rank = F.expr(f"coalesce(cast(size(filter(array({','.join(f'{c}L' for c in cuts)}), c -> c < doc_id)) as int), 0)") if len(cuts) < 64 else _bisect(cuts)
-    slim = slim.withColumn("range", rank)
-    totals = slim.groupBy("range").agg(F.count("*").alias("n"), F.sum("size").alias("b")).orderBy("range").collect()
-    whole = sum(t["b"] for t in totals)
-    offsets, rows, size = [], 0, 0
-    for t in totals:
-        offsets.append((t["range"], rows, size))
-        rows, size = rows + t["n"], size + t["b"]
-    off = spark.createDataFrame(offsets, "range int, row0 long, byte0 long")
-    w = W.partitionBy("range").orderBy(F.col("doc_id").asc_nulls_first(), "text_crc32", "size")
-    placed = slim.join(F.broadcast(off), "range").select(  # one row for each range: at most 2 x the shuffle partitions
-        "doc_id", "size", "text_crc32", (F.col("row0") + F.row_number().over(w) - 1).alias("at"),
-        (F.col("byte0") + F.sum("size").over(w.rowsBetween(W.unboundedPreceding, 0))).alias("upto"))
-    middle = (2 * F.col("upto") - F.col("size")).cast("decimal(38,0)") * n_shards
-    placed = stored(placed.withColumn("shard", F.least(F.lit(n_shards - 1), F.floor(middle / F.lit(2 * max(whole, 1)).cast("decimal(38,0)")).cast("int"))), "placed")
-    first, seen = [], 0
-    counts = {r["shard"]: r["count"] for r in placed.groupBy("shard").count().collect()}
-    for s in range(n_shards):
-        first.append(seen)
-        seen += counts.get(s, 0)
-    starts = F.array(*[F.lit(x).cast("long") for x in first])
-    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("at") - F.element_at(starts, F.col("shard") + 1)).alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
-
+    slim = stored(_sized(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("_text")), "_text").drop("_text"), "sizes")
+    return _cut(slim, n_shards, ["doc_id", "_crc", "_size"]).select("doc_id", *_digest())
 
-def _bisect(cuts: list[int]):
-    """The number of ``cuts`` below doc_id, as a balanced tree of comparisons."""
 
-    def tree(lo: int, hi: int) -> str:
-        if lo == hi:
-            return str(lo)
-        mid = (lo + hi) // 2
-        return f"if(doc_id <= {cuts[mid]}L, {tree(lo, mid)}, {tree(mid + 1, hi)})"
-
-    return F.expr(f"if(doc_id is null, 0, {tree(0, len(cuts))})")
+def sharded(docs: DataFrame, n_shards: int = 40, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` with all their columns, and size, text_crc32, law, shard, slot and grown_shard as ``shards`` gives them;
+    a column of ``docs`` with one of these names is kept under a name that begins with ``_own_``. Rows move once, into
+    their ranges, so each stored part holds rows of neighbouring places. Nulls, repeats and empty tables as in ``shards``.
+    """
+    docs, _ = set_aside(docs, "size", "text_crc32", "law", "shard", "slot", "grown_shard", "_size", "_crc", "_any", "_range", "_pos", "_upto", "_row0", "_byte0", "_shard", "_first", "_slot")
+    key, text = (next(c for c in docs.columns if c.lower() == k.lower()) for k in (key, text))
+    return _cut(_sized(docs, text), n_shards, [key, "_crc", "_size"]).select(*docs.columns, *_digest())
 
 
 def op3_sharding(spark, sf_dir: str) -> DataFrame:
