@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -15,7 +16,10 @@ from corpusloom.llm.common import load
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MOST_PIECES = 1_000_000
 MOST_NODES = 1_200_000
+LONGEST = 4096
+PIECE = 1 << 20
 SPACE = "▁"
+_BLANK = re.compile(rb"[\t-\r ]")
 
 
 def pieces(path: str = MODEL) -> dict[str, float]:
@@ -57,6 +61,8 @@ class Trie(dict):
         """Tokens of a new pre-token; a character that no piece covers is spelt in UTF-8 bytes, a token each."""
         if len(self.best) > self.most_nodes or len(self) > self.most_nodes:
             self.empty()
+        if len(word) > LONGEST:
+            return self.long(word)
         text = SPACE + word.decode("utf-8", "replace")
         child, best, tokens, scores, endings = self.child, self.best, self.tokens, self.scores, self.endings
         path = [0]
@@ -84,6 +90,37 @@ class Trie(dict):
         return tokens[at]
 
 
+    def long(self, word: bytes) -> int:
+        """Tokens of a very long pre-token, by the same recurrence over the last places alone: nothing of it is stored."""
+        text = SPACE + word.decode("utf-8", "replace")
+        scores, endings, reach = self.scores, self.endings, max(map(len, self.scores), default=1) + 1
+        best, tokens = [0.0] * reach, [0] * reach  # of the place i, at i modulo reach
+        for i, c in enumerate(text):
+            low, few = best[i % reach] + self.unknown, tokens[i % reach] + len(c.encode("utf-8", "surrogatepass"))
+            for j in range(i, max(-1, i - reach + 1), -1):
+                piece = text[j : i + 1]
+                score = scores.get(piece)
+                if score is not None:
+                    score += best[j % reach]
+                    if score > low or score == low and tokens[j % reach] + 1 < few:
+                        low, few = score, tokens[j % reach] + 1
+                elif piece not in endings:
+                    break
+            best[(i + 1) % reach], tokens[(i + 1) % reach] = low, few
+        return tokens[len(text) % reach]
+
+
+def _spans(data: bytes) -> Iterator[bytes]:
+    """A long text in pieces that end at white space."""
+    at = 0
+    while at < len(data):
+        end = at + PIECE
+        m = _BLANK.search(data, end)
+        end = m.start() if m else len(data)
+        yield data[at:end]
+        at = end
+
+
 #: The trie of this worker, kept from task to task, by the name of its vocabulary.
 _OWN: dict[str, Trie] = {}
 
@@ -99,9 +136,13 @@ def _counting(shared, name: str):
             off, data = column_bytes(batch.column(at))
             view, words, tokens = memoryview(data), [], []
             for a, b in zip(off[:-1].tolist(), off[1:].tolist()):
-                found = bytes(view[a:b]).split()
-                words.append(len(found))
-                tokens.append(sum(map(trie.__getitem__, found)))
+                n = count = 0
+                for part in _spans(bytes(view[a:b])) if b - a > 2 * PIECE else (bytes(view[a:b]),):
+                    found = part.split()
+                    n += len(found)
+                    count += sum(map(trie.__getitem__, found))
+                words.append(n)
+                tokens.append(count)
             rest = [i for i in range(batch.num_columns) if i != at]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in rest), pa.array(words, pa.int64()), pa.array(tokens, pa.int64())], [*(batch.schema.names[i] for i in rest), "n_pretokens", "n_tokens"])
 
@@ -112,8 +153,9 @@ def token_counts(docs: DataFrame, path: str = MODEL) -> DataFrame:
     """``docs`` with n_pretokens (runs between white space) and n_tokens in place of text.
 
     One pass, no shuffle: each Python worker keeps a trie over the batches it sees and starts it anew beyond a bound of
-    nodes, which changes no count. Null and blank texts have no tokens; repeated rows a count each. Columns n_pretokens
-    and n_tokens of ``docs`` are replaced. ``path`` is read by the driver alone.
+    nodes, which changes no count; pre-tokens of more than 4,096 bytes are counted without it. Null and blank texts have no tokens;
+    repeated rows a count each. An empty table gives an empty one. Columns n_pretokens and n_tokens of ``docs`` are replaced, others
+    stay. Texts of more than 2 MB are split in pieces of about 1 MB. ``path`` is read by the driver alone.
     """
     docs = docs.drop("n_pretokens", "n_tokens")
     scores = pieces(path)
