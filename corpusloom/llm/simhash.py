@@ -6,49 +6,103 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from corpusloom.llm.arrow import column_bytes
+from corpusloom.llm.arrow import rows_of
 from corpusloom.llm.common import connected_components, load, set_aside, stored, width
+from corpusloom.llm.xxh import xxh64
 
 SHINGLE = 4
 MOST_BITS = 4
 SEED = 42
 BUCKET = 4096
-_LOW = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-_VOTES = 1 << 16
-
-
-def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
+PIECE = 1 << 20
+_LOW = np.arange(256, dtype=np.uint8)
+_LOW[65:91] += 32
+#: The bits of a byte as eight bytes of a number.
+_LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").copy().view(np.uint64)[:, 0]
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+
+
+def _compact(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(A-Z lower-cased words with one space behind each, where each begins and ends, its row) of texts side by side."""
+    apart = np.insert(_LOW[data], offsets[1:], np.uint8(32))  # a space behind each text
+    into = ~_SPACE[apart]
+    before = np.empty(len(into), bool)
+    before[:1] = False
+    before[1:] = into[:-1]
+    row = np.searchsorted(offsets[1:] + np.arange(len(offsets) - 1), np.flatnonzero(into & ~before))
+    keep = into | before
+    c, into = apart[keep], into[keep]
+    c[~into] = 32
+    ends = np.flatnonzero(~into)
+    return c, np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends, ends, row
+
+
+def _votes(offsets: np.ndarray, data: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """(for each text the number of its shingles with each bit set, the number of its shingles)."""
+    n = len(offsets) - 1
+    c, s, e, row = _compact(offsets, data)
+    per = np.bincount(row, minlength=n)
+    first = np.cumsum(per) - per
+    many = np.maximum(per - shingle + 1, np.minimum(per, 1))
+    own = np.repeat(np.arange(n), many)
+    at = first[own] + np.arange(len(own)) - np.repeat(np.cumsum(many) - many, many)
+    last = np.minimum(at + shingle, (first + per)[own]) - 1
+    h = xxh64(c, s[at], e[last] - s[at], SEED) if len(at) else np.zeros(0, np.uint64)
+    votes = np.zeros((n, 64), np.int64)
+    if len(h):  # eight counters a number, in runs so short that none overflows
+        turns = -(-many // 255)
+        owner = np.repeat(np.arange(n), turns)
+        begin = (np.cumsum(many) - many)[owner] + 255 * (np.arange(len(owner)) - np.repeat(np.cumsum(turns) - turns, turns))
+        runs = np.add.reduceat(_LANES[h.view(np.uint8)].reshape(-1, 8), begin, axis=0).view(np.uint8).reshape(-1, 64)
+        some = np.flatnonzero(turns)
+        votes[some] = np.add.reduceat(runs.astype(np.int64), (np.cumsum(turns) - turns)[some], axis=0)
+    return votes, many
+
+
+def _voted(votes: np.ndarray, many: np.ndarray) -> np.ndarray:
+    return np.packbits(2 * votes > many[:, None], axis=1, bitorder="little").view(np.uint64)[:, 0]
+
+
+def _long(data: np.ndarray, shingle: int, piece: int) -> int:
+    """The fingerprint of one long text in pieces that end between words; the last words of a piece go before the next one."""
+    votes, many, carry, at = np.zeros((1, 64), np.int64), np.zeros(1, np.int64), np.zeros(0, np.uint8), 0
+    while at < len(data):
+        end = min(at + piece, len(data))
+        while end < len(data) and not _SPACE[data[end]]:
+            end += 1
+        text = np.concatenate([carry, data[at:end]])
+        c, s, e, _ = _compact(np.array([0, len(text)], np.int64), text)
+        at = end
+        if len(s) >= shingle or at == len(data) and (len(s) or many[0]):
+            if len(s) >= shingle or not many[0]:
+                v, m = _votes(np.array([0, len(c)], np.int64), c, shingle)
+                votes, many = votes + v, many + m
+            c = c[s[len(s) - shingle + 1] :] if shingle > 1 else c[:0]
+        carry = c
+    return int(_voted(votes, many)[0])
+
+
+def fingerprint(text: bytes, shingle: int = SHINGLE, piece: int = PIECE) -> int:
     """The 64-bit SimHash of a text: words at white space, A-Z lower-cased, all shingles with repeats, XXH64 votes for each bit."""
-    words = text.translate(_LOW).split()
-    if not words:
-        return 0
-    joined = b" ".join(words)
-    n = len(words)
-    if n <= shingle:
-        hashes = np.array([xxhash.xxh64_intdigest(joined, SEED)], np.uint64)
-    else:
-        size = np.fromiter(map(len, words), np.int64, n)
-        ends = np.cumsum(size + 1) - 1
-        starts = (ends - size)[: n - shingle + 1].tolist()
-        digest = xxhash.xxh64_intdigest
-        hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[shingle - 1 :].tolist())], np.uint64)
-    votes = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), _VOTES):
-        votes += np.unpackbits(hashes[at : at + _VOTES].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
-    return int(np.packbits(2 * votes > len(hashes), bitorder="little").view(np.uint64)[0])
+    data = np.frombuffer(text, np.uint8)
+    if len(data) > 2 * piece:
+        return _long(data, shingle, piece)
+    return int(_voted(*_votes(np.array([0, len(data)], np.int64), data, shingle))[0])
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         at = batch.schema.get_field_index("text")
-        off, data = column_bytes(batch.column(at))
-        view = memoryview(data)
-        found = np.fromiter((fingerprint(bytes(view[off[i] : off[i + 1]])) for i in range(len(off) - 1)), np.uint64, len(off) - 1)
-        rest = [i for i in range(batch.num_columns) if i != at]
-        yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in rest), pa.array(found.view(np.int64))], [*(batch.schema.names[i] for i in rest), "fp"])
+        for part, off, data in rows_of(batch, PIECE):
+            if len(data) > 2 * PIECE:  # one long text
+                found = np.array([_long(data, SHINGLE, PIECE)], np.uint64)
+            else:
+                found = _voted(*_votes(off, data, SHINGLE))
+            rest = [i for i in range(part.num_columns) if i != at]
+            yield pa.RecordBatch.from_arrays([*(part.column(i) for i in rest), pa.array(found.view(np.int64))], [*(part.schema.names[i] for i in rest), "fp"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -219,7 +273,8 @@ def classes(docs: DataFrame, most: int = MOST_BITS) -> DataFrame:
 
     Copies collapse into one fingerprint with map-side combine before anything is compared. Null and wordless texts have the
     fingerprint 0 and are linked like others; a null doc_id takes part but gives no component its name, unless all ids of a
-    component are null. Repeated ids keep a row each. Empty in, empty out.
+    component are null. Repeated ids keep a row each. Columns fp, class_fp and component_id of ``docs`` are replaced, others stay.
+    Texts are hashed in pieces of about 1 MB, a longer one in several. Empty in, empty out.
     """
     marked = stored(fingerprints(docs.drop("class_fp", "component_id")), "fingerprints")
     nodes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "nodes")
@@ -237,11 +292,15 @@ def op8_simhash(spark, sf_dir: str) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, most: int = MOST_BITS) -> DataFrame:
-    """``docs`` with one row of each class: that with the smallest doc_id (of repeated rows with that id, one for each text)."""
-    docs, names = set_aside(docs, "_h", "h", "_id", "class_fp", "_first")
-    keyed = docs.withColumn("_h", F.xxhash64("text"))
+    """``docs`` with one row of each class: that with the smallest doc_id (of repeated rows with that id, one for each text).
+
+    Rows alike in doc_id and text are reduced to one before they are shuffled, in each task and then by key, so an id or a text that
+    makes a third of all rows is no task of its own. All columns stay, whatever their names; of rows alike in doc_id and text
+    any one gives them. Nulls as in ``classes``; whole texts are read, long ones in pieces. Empty in, empty out.
+    """
+    docs, names = set_aside(docs, "_h", "h", "_id", "_key", "class_fp", "component_id", "fp")
+    id_of = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit(""))  # null is no id's text
+    once = docs.withColumn("_key", id_of).withColumn("_h", F.xxhash64("text")).dropDuplicates(["_key", "_h"])
     kept = classes(docs.select("doc_id", "text", F.xxhash64("text").alias("h")), most)
-    kept = kept.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_id"), "class_fp").agg(F.min("h").alias("h"))
-    out = keyed.join(kept, keyed.doc_id.eqNullSafe(kept._id) & (keyed._h == kept.h), "inner")
-    first = F.row_number().over(W.partitionBy("doc_id", "_h").orderBy(F.lit(1)))
-    return out.withColumn("_first", first).where("_first = 1").select(*names)
+    kept = kept.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(id_of.alias("_key"), "class_fp").agg(F.min("h").alias("_h")).select("_key", "_h").distinct()
+    return once.join(kept, ["_key", "_h"]).select(*names)
