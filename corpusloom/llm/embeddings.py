@@ -15,7 +15,7 @@ LEAST = 0.95
 NEAREST = 10
 RADII = (1, 1.5, 2, 3, 4)
 LIST = 256
-BLOCK = 256
+BLOCK_BYTES, TILE = 4_000_000, 1024
 MOST_PIVOTS, MOST_NUMBERS = 16384, 4_000_000
 
 
@@ -33,6 +33,7 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(axis=1, keepdims=True)  # first by the largest component: no square is too large or too small
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -102,35 +103,54 @@ def _pairs(dim: int, least: float):
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         pivot, same = key[0].as_py(), key[1].as_py() == key[2].as_py()
+        table = table.combine_chunks()
         rid, n, side = (table[c].to_numpy() for c in ("rid", "n", "side"))
         x, size = _unit(_matrix(table["vec"], dim)), table["vec"].combine_chunks().value_lengths().to_numpy()
+        lists = table["perm"].combine_chunks()
+        row, flat = np.repeat(np.arange(len(rid)), lists.value_lengths().to_numpy()), lists.flatten().to_numpy()
+        row, flat = row[flat < pivot], flat[flat < pivot]
         one = np.flatnonzero(side == 0)
         two = one if same else np.flatnonzero(side == 1)
-        met = (x[one] @ x[two].T >= least) & (size[one][:, None] == size[two][None, :])
-        if same:
-            met = np.triu(met, 1)
-        if met.any():  # not those that share a smaller pivot
-            lists = table["perm"].combine_chunks()
-            row, flat = np.repeat(np.arange(len(rid)), lists.value_lengths().to_numpy()), lists.flatten().to_numpy()
-            row, flat = row[flat < pivot], flat[flat < pivot]
-            near, local = np.unique(flat, return_inverse=True)
-            member = np.zeros((len(rid), len(near)), np.float32)
-            member[row, local] = 1
-            i, j = np.flatnonzero(met.any(axis=1)), np.flatnonzero(met.any(axis=0))
-            met[np.ix_(i, j)] &= member[one[i]] @ member[two[j]].T == 0
-        i, j = np.nonzero(met)
-        i, j = one[i], two[j]
-        count = np.bincount(i, n[j], len(rid)) + np.bincount(j, n[i], len(rid))
+        count, a, b = np.zeros(len(rid), np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for p in range(0, len(one), TILE):
+            for q in range(p if same else 0, len(two), TILE):
+                u, v = one[p : p + TILE], two[q : q + TILE]
+                met = x[u] @ x[v].T >= least
+                if same and p == q:
+                    met = np.triu(met, 1)
+                if not met.any():
+                    continue
+                met &= size[u][:, None] == size[v][None, :]
+                i, j = np.flatnonzero(met.any(axis=1)), np.flatnonzero(met.any(axis=0))
+                met[np.ix_(i, j)] &= _apart(row, flat, len(rid), u[i], v[j])  # not those that share a smaller pivot
+                i, j = np.nonzero(met)
+                i, j = u[i], v[j]
+                count += np.bincount(i, n[j], len(rid)).astype(np.int64) + np.bincount(j, n[i], len(rid)).astype(np.int64)
+                a, b = forest(np.concatenate([a, rid[i]]), np.concatenate([b, rid[j]]))
         some = np.flatnonzero(count)
-        a, b = forest(rid[i], rid[j])
         return pa.table({
             "a": pa.array(np.concatenate([rid[some], a]), pa.int64()),
             "b": pa.array([*[None] * len(some), *b.tolist()], pa.int64()),
-            "links": pa.array(np.concatenate([count[some].astype(np.int64), np.zeros(len(a), np.int64)]), pa.int64())})
+            "links": pa.array(np.concatenate([count[some], np.zeros(len(a), np.int64)]), pa.int64())})
 
     return run
 
 
+def _apart(row: np.ndarray, flat: np.ndarray, n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """For each of ``u`` and each of ``v``: do their lists, as (row, pivot) pairs, share no pivot? Shared pivots are counted by the
+    inverted lists as one product."""
+    want = np.zeros(n, bool)
+    want[u] = want[v] = True
+    own = want[row]
+    near, local = np.unique(flat[own], return_inverse=True)
+    place = np.full(n, -1)
+    both = np.unique(np.concatenate([u, v]))
+    place[both] = np.arange(len(both))
+    member = np.zeros((len(both), len(near)), np.float32)
+    member[place[row[own]], local] = 1
+    return member[place[u]] @ member[place[v]].T == 0
+
+
 def near_vectors(rows: DataFrame, least: float = LEAST, nearest: int = NEAREST) -> DataFrame:
     """vec_id, n_links, component_id, kept and embedding of each row of ``rows(vec_id, embedding)``.
 
@@ -138,7 +158,9 @@ def near_vectors(rows: DataFrame, least: float = LEAST, nearest: int = NEAREST)
     pivots (1 for about 25 vectors, 16,384 or 4 million numbers at most, taken by hash), less those inside the ball of another, so a
     dense group has few. A vector inside a ball is listed under each pivot that one of its links can have, and all its links are
     found; one in no ball is listed under its 10 nearest pivots too, and two such vectors link if they share a list. Lists are cut into blocks
-    of 256 by hash, and each pair of blocks is a task's group, so no list meets in one task. Components are found by distributed rounds.
+    of 4 MB of numbers by hash, and each pair of blocks is a task's group, so no list meets in one task. Components are found by distributed
+    rounds. Beyond 16,384 pivots lists grow with the table, and with them the work for a vector and, by one block of 4 MB at a time, how
+    often it is sent.
 
     A vector that is null, zero, empty, or holds null or non-finite components links with nothing; vectors of different
     lengths don't link. Null ids: such a row takes part, counts as a link, and names no component unless all its ids are null.
@@ -164,7 +186,7 @@ def near_vectors(rows: DataFrame, least: float = LEAST, nearest: int = NEAREST)
         kind = reps.schema["vec"].dataType.simpleString()
         marked = stored(reps.select("rid", "n", "vec").mapInArrow(_describing(pivots, have["dim"], nearest, least), f"rid long, n long, vec {kind}, perm array<int>"), "described")
         lists = marked.select("rid", "n", "vec", "perm", F.explode("perm").alias("pivot"))
-        sizes = marked.select(F.explode("perm").alias("pivot")).groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+        sizes = marked.select(F.explode("perm").alias("pivot")).groupBy("pivot").agg(F.ceil(F.count("*") / max(TILE, BLOCK_BYTES // (8 * have["dim"]))).cast("int").alias("blocks"))
         lists = lists.join(F.broadcast(sizes), "pivot").withColumn("own", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))  # one row a pivot, 16,384 at most
         pairs = lists.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
             "pivot", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), "rid", "n", "vec", "perm", F.when(F.col("own") <= F.col("o"), 0).otherwise(1).alias("side"))
