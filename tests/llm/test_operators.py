@@ -3,18 +3,16 @@ repeats, empty tables, clashing column names."""
 
 from __future__ import annotations
 
-import hashlib
 import re
 import zlib
 
-import duckdb
 import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from corpusloom.llm import decontamination, embeddings, gru, html_text, language_id, mixing, sharding, simhash, token_counts, toxicity, warc
-from corpusloom.llm.common import connected_components, stored
+from corpusloom.llm.common import connected_components
 from tests.conftest import DATA, same
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -459,11 +457,6 @@ def test_pairing_levels_agree_in_mass(spark):
     assert all(abs(r["t"] - r["k"]) <= 30 for r in got) and plan.agg(F.sum("n")).first()[0] == 600
 
 
-def test_hot_text_in_stored_tables(spark):
-    df = stored(spark.range(10), "t")
-    assert df.count() == 10 and hashlib.sha256(b"").hexdigest().startswith("e3b0") and duckdb.__version__
-
-
 def test_long_texts_in_pieces(monkeypatch):
     rng = np.random.default_rng(9)
     text = " ".join("".join(rng.choice(list("abcdé"), rng.integers(1, 9))) for _ in range(4000)) + " 日本語のテキスト" * 50

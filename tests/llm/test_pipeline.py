@@ -67,3 +67,44 @@ def test_stages_keep_columns_of_clashing_names(spark):
         assert got.columns == docs.columns, name
         assert all(tuple(r[c] for c in extra) == tuple(range(len(extra))) for r in got.collect()), name
     assert flow.STAGES[-1][1](spark, got, DATA).count() == got.count()
+
+
+def test_last_stages_by_brute_force(spark):
+    """Mixing comes near the targets of its input by words, and shards hold all columns in one order, cut at equal bytes."""
+    docs = stored(spark.read.parquet(f"{DATA}/documents.parquet").where("text is not null"), "input")
+    rows = docs.collect()
+    size = {r["doc_id"]: len(re.findall(r"[^\x20\x09-\x0D]+", r["text"])) for r in rows}
+    total = {}
+    for r in rows:
+        total[r["source"]] = total.get(r["source"], 0) + size[r["doc_id"]]
+    names = sorted(total, key=lambda x: (x is None, x or ""))
+    weight = {x: [1, 2, 3][i % 3] for i, x in enumerate(names)}
+    target, left, free = {}, float(sum(total.values())), set(names)
+    while free:
+        share = {x: left * weight[x] / sum(weight[y] for y in free) for x in free}
+        above = [x for x in free if share[x] > 3 * total[x] + 1e-9]
+        if not above:
+            target |= share
+            break
+        for x in above:
+            target[x] = 3.0 * total[x]
+            left -= target[x]
+            free.remove(x)
+    mixed = stored(flow.STAGES[3][1](spark, docs, DATA), "mixing")
+    taken, most = dict.fromkeys(names, 0), dict.fromkeys(names, 0)
+    for r in mixed.collect():
+        taken[r["source"]] += size[r["doc_id"]]
+    for r in rows:
+        most[r["source"]] = max(most[r["source"]], size[r["doc_id"]])
+    assert all(abs(taken[x] - target[x]) <= most[x] / 2 + 1e-6 for x in names)
+    last = flow.STAGES[4][1](spark, mixed, DATA)
+    assert set(docs.columns) < set(last.columns)
+    own = [tuple(r[c] for c in docs.columns) for r in mixed.collect()]
+    assert sorted(map(str, own)) == sorted(str(tuple(r[c] for c in docs.columns)) for r in last.collect())
+    placed = sorted(last.collect(), key=lambda r: (r["shard"], r["slot"]))
+    assert [(r["doc_id"], r["text_crc32"]) for r in placed] == sorted((r["doc_id"], r["text_crc32"]) for r in placed)
+    whole, seen = sum(len(r["text"].encode()) + 16 for r in placed), 0
+    for r in placed:
+        n = len(r["text"].encode()) + 16
+        assert r["size"] == n and r["shard"] == min(39, (2 * seen + n) * 40 // (2 * whole))
+        seen += n
