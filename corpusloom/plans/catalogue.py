@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.functions import text as X
-from corpusloom.operators import diff, identity, legacy, search
+from corpusloom.operators import diff, identity, legacy, search, sidecars
 from corpusloom.plans import audit, bindings as B, canonical, projections
 from corpusloom.plans.registered import BASE, PAPERS, S, c, query, t
 from corpusloom.sources import places, readers, sinks
@@ -624,3 +624,63 @@ def q110_shared_members(spark, d):
     """Members of keys that several documents share, as rows (AG6)."""
     return diff.shared_members(t(spark, d, "documents").select(F.md5("text").alias("text_md5"), "doc_id"), "text_md5", "doc_id")
 
+
+
+# ---- sidecars
+
+
+@query("""with s as (select doc_id, text, greatest(ceil((length(text) - 1000) / 900.0), 0)::int + 1 as n from documents where length(text) > 0),
+  x as (select doc_id, unnest(range(n)) as i, text from s), y as (select doc_id, i, substr(text, i * 900 + 1, 1000) as chunk from x)
+  select doc_id || ':c1:' || printf('%05d', i) as chunk_id, doc_id, i::int as chunk_index, md5(chunk) as chunk_md5, (i * 900)::int as char_start, (i * 900 + length(chunk))::int as char_end, 'c1' as chunk_version from y""")
+def q111_chunk_texts(spark, d):
+    """Overlapping chunks of whole texts."""
+    return sidecars.chunk_texts(t(spark, d, "documents")).select("chunk_id", "doc_id", "chunk_index", F.md5("chunk_text").alias("chunk_md5"), "char_start", "char_end", "chunk_version")
+
+
+_POSTINGS = "p as (select doc_id, term, count(*) as tf from (select doc_id, unnest(regexp_extract_all(lower(strip_accents(text)), '[a-z0-9]+')) as term from documents) group by all)"
+
+
+@query(f"with {_POSTINGS} select term, count(*) as df, sum(tf)::bigint as cf from p group by term")
+def q112_term_statistics(spark, d):
+    """Every term of all texts with its documents and occurrences, from the postings."""
+    return sidecars.term_statistics(sidecars.term_index(t(spark, d, "documents"), "doc_id", "text"))
+
+
+@query(f"with {_POSTINGS} select doc_id, sum(tf)::bigint as score from p where term in ('the', 'of') group by doc_id having count(*) = 2")
+def q113_term_search(spark, d):
+    """Documents that hold all words of a search, by the postings."""
+    return sidecars.term_search(sidecars.term_index(t(spark, d, "documents"), "doc_id", "text"), ["The", "of"], "doc_id")
+
+
+@query("""with o as (select doc_id, case when toxic = 1 then 'lang' when quality = 1 then 'source' else 'n_chars' end as field, case when toxic = 1 then 'xx' when quality = 1 then null else '7' end as v, case when doc_id % 4 = 0 then 'src1' end as only_source from labels),
+  f as (select o.* from o join documents using (doc_id) where only_source is null or only_source = source)
+  select d.doc_id, case when f.field = 'lang' then f.v else d.lang end as lang, case when f.field = 'source' then f.v else d.source end as source, case when f.field = 'n_chars' then f.v::bigint else d.n_chars end as n_chars from documents d left join f using (doc_id)""")
+def q114_curated_overrides(spark, d):
+    """Explicit overrides of fields, cast to their types, the latest of each field (an earlier one says otherwise here)."""
+    l = t(spark, d, "labels")  # noqa: E741
+    field = F.when(c("toxic") == 1, "lang").when(c("quality") == 1, "source").otherwise("n_chars")
+    value = F.when(c("toxic") == 1, '"xx"').when(c("quality") == 1, "null").otherwise("7")
+    one = lambda name, v, at: l.select(F.concat(F.lit(name), c("doc_id").cast("string")).alias("override_id"), "doc_id", F.lit("documents").alias("target_table"), field.alias("target_field"), v.alias("override_value_json"), F.when(c("doc_id") % 4 == 0, "src1").alias("applies_to_source_type"), F.lit(at).alias("created_at"))
+    made = one("b", value, "2024-02-01").unionByName(one("a", F.lit("99"), "2024-01-01"))
+    docs = t(spark, d, "documents").select("doc_id", "lang", "source", "n_chars")
+    return sidecars.overridden(docs, made, "documents", source="source")
+
+
+@query("""with a as (select doc_id as id, lang, source from documents), b as (select doc_id as id, case when quality = 1 then d.lang else 'zz' end as lang, source from labels join documents d using (doc_id) union all select page_id + 1000000, 'pp', 'web' from pages),
+  s as (select coalesce(a.id, b.id) as id, case when a.id is null then 'added' when b.id is null then 'removed' when a.lang is distinct from b.lang or a.source is distinct from b.source then 'changed' end as state from a full join b on a.id = b.id)
+  select id, state, case state when 'removed' then null else (select any_value(lang) from b where b.id = s.id) end as lang from s where state is not null""")
+def q115_stale_rows(spark, d):
+    """What a new version of a table adds, changes and removes by row fingerprints, and the derived rows built anew."""
+    docs = t(spark, d, "documents").select(c("doc_id").alias("id"), "lang", "source")
+    new = docs.join(t(spark, d, "labels").select(c("doc_id").alias("id"), "quality"), "id").select("id", F.when(c("quality") == 1, c("lang")).otherwise("zz").alias("lang"), "source")
+    new = new.unionByName(t(spark, d, "pages").select((c("page_id") + 1000000).alias("id"), F.lit("pp").alias("lang"), F.lit("web").alias("source")))
+    changes = sidecars.stale(sidecars.row_versions(docs, "id"), sidecars.row_versions(new, "id"), "id")
+    after = sidecars.rebuilt(docs, new, changes, "id").select("id", "lang")
+    return changes.join(after, "id", "left").select("id", "state", "lang")
+
+
+@query(f"""with {B.CANON} select a.doc_id, remote_url from assets_ a join documents_ d using (doc_id) where affiliated and starts_with(remote_url, 'https://mirror.example.org/papers/') and {BASE.format('remote_url')} not in (select name from inventory where bucket = 'other')""")
+def q116_flagged_without_copy(spark, d):
+    """Flagged documents whose lasting link names no stored file."""
+    made = B.tables(spark, d)
+    return sidecars.flagged_without_copy(made["documents"], made["asset_refs"], B.bound(spark, d, B.ROOTS["inventory"]), S)
