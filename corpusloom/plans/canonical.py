@@ -11,6 +11,7 @@ from corpusloom.operators.constraints import assert_fk, assert_not_null, assert_
 from corpusloom.operators.identity import suffixed
 from corpusloom.operators.registry import flagged
 from corpusloom.settings import Settings
+from corpusloom.sources.places import stored
 from corpusloom.sources.readers import mirror_map
 
 
@@ -74,7 +75,8 @@ def local_paths(rows: DataFrame, inventory: DataFrame, buckets: tuple[str, ...])
 def build(roots: Roots, settings: Settings | None = None, ingested_at: Column | None = None, check: bool = True) -> dict[str, DataFrame]:
     """All canonical tables. Key constraints are checked before anything is returned (SK2-SK8).
 
-    Three sources are derived apart, united once, and enriched together: one join to the inventory, one to the mirrors.
+    Three sources are derived apart, united once, and enriched together: one join to the inventory, one to the mirrors. The result is
+    written to the shared folder once, and all tables and key checks read it there.
     """
     s = settings or Settings()
     spark = roots.portal.sparkSession
@@ -85,7 +87,7 @@ def build(roots: Roots, settings: Settings | None = None, ingested_at: Column |
     rows = local_paths(rows, roots.inventory, s.buckets)
     links = mirror_map(roots.mirrors)
     rows = rows.join(links.withColumnRenamed("source_url", "remote_url"), "remote_url", "left")
-    rows = flagged(rows, roots.registry, ["remote_url", F.coalesce("local_rel_path", F.lit(""))])
+    rows = stored(flagged(rows, roots.registry, ["remote_url", F.coalesce("local_rel_path", F.lit(""))]), "canonical")
     documents = rows.select("doc_id", "entry_type", "title", "author_display", "year", "journal_label", "affiliated", F.col("kind").alias("source_root"))
     prefix = F.create_map(F.lit("portal"), F.lit("portal"), F.lit("curated_files"), F.lit("curated-files"), F.lit("curated_links"), F.lit("curated-links"))
     pick = lambda m: F.create_map(*[x for k, v in m.items() for x in (F.lit(k), F.lit(v))])[F.col("kind")]

@@ -6,7 +6,7 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _MADE: list[tuple[SparkSession, str]] = []
 
@@ -34,6 +34,14 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back, for what several tables are made from: it isn't computed for each of
+    them, and a lost executor costs nothing above it."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @atexit.register
 def _free() -> None:
     for spark, path in _MADE:
