@@ -12,6 +12,7 @@ from corpusloom.llm.common import load, set_aside, stored, width
 WEIGHTS = (1, 2, 3)
 MOST = 3.0
 GROUP = 4096
+MOST_SOURCES, SALTS = 10_000, 64
 WORD = r"[^\x20\x09-\x0D]+"
 UNIT = "doc_id {id}, source string, size long, h long, n long, source_size long, target double, base long, mass double, cap double, u double"
 
@@ -117,7 +118,8 @@ def copies(docs: DataFrame, weights: tuple = WEIGHTS, most: float = MOST, group:
     half of one of its units. Draws come from hashes of the id and ``seed``: reruns agree.
 
     Null text: size 0, nothing is taken. A null source is a source of its own, the last one. Null and repeated ids are
-    kept; rows alike in id, source and text are one unit of n rows, which share the number of copies. Empty: empty.
+    kept; rows alike in id, source and text are one unit of n rows, which share the number of copies. Empty: empty. Other columns of
+    ``docs``, whatever their names, aren't read here; ``mixed`` keeps them. Texts of any length are counted by one expression.
     """
     slim = stored(docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), F.xxhash64("text").alias("h")), "sizes")
     units = slim.groupBy("doc_id", "source", "size", "h").agg(F.count("*").alias("n"))
@@ -126,7 +128,12 @@ def copies(docs: DataFrame, weights: tuple = WEIGHTS, most: float = MOST, group:
     rows = slim.count()
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(ratio + F.lit(1e-12))
-    joined = units.join(totals, units.source.eqNullSafe(totals.s), "left") if totals.count() > 10_000 else units.join(F.broadcast(totals), units.source.eqNullSafe(totals.s), "left")  # counted above: at most 10,000 short rows are broadcast
+    if totals.count() <= MOST_SOURCES:  # counted: at most 10,000 short rows are broadcast
+        joined = units.join(F.broadcast(totals), units.source.eqNullSafe(totals.s), "left")
+    else:  # a source with a third of all rows is dealt over salts
+        spread = totals.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salted = units.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "h"), F.lit(SALTS)).cast("int"))
+        joined = salted.join(spread, F.col("source").eqNullSafe(F.col("s")) & (F.col("_salt") == F.col("_part")), "left")
     now = joined.select(
         "doc_id", "source", "size", "h", "n", "source_size", "target", whole.cast("long").alias("base"),
         (F.greatest(ratio - whole, F.lit(0.0)) * F.col("size") * F.col("n")).alias("mass"), (F.col("size") * F.col("n")).cast("double").alias("cap"),

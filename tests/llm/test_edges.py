@@ -455,3 +455,11 @@ def test_rounding_by_brute_force(spark):
                 assert own.mass.sum() == pytest.approx(before.mass.sum())
             else:
                 assert abs(own.mass.sum() - before.mass.sum()) <= before.cap.max() / 2 + 1e-9
+
+
+def test_many_sources_give_the_same_mix(spark, monkeypatch):
+    rows = [(i, "w " * (i % 13), "en", None if i % 11 == 0 else "hot" if i % 3 else f"s{i % 7}", 1) for i in range(300)]
+    df = spark.createDataFrame(rows, DOCS)
+    one = sorted(map(str, mixing.copies(df).collect()))
+    monkeypatch.setattr(mixing, "MOST_SOURCES", -1)
+    assert sorted(map(str, mixing.copies(df).collect())) == one
