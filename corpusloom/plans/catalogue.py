@@ -282,7 +282,7 @@ def q76_audit_issue_folder(spark, d):
     ctx = B.context(spark, d)
     ctx = audit.AuditContext(ctx.roots, audit.scans(ctx)["documents"], ctx.sources, ctx.assets, ctx.settings)
     folder = sinks.audit_issues(audit.issues(ctx, [n for n in audit.check_names() if n in _SOME]), places.scratch(spark, "issues"))
-    return spark.read.json(folder).groupBy("check", "severity").agg(F.count("*").alias("n"))
+    return spark.read.schema(f"{audit.ISSUE}, check string").json(folder).groupBy("check", "severity").agg(F.count("*").alias("n"))
 
 
 # ---- files and listings
