@@ -95,17 +95,21 @@ def crc_of_id(col: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")))
 
 
-HUB = 65_536
+HUB, MOST_HUBS = 256, 10_000
 
 
-def hub_join(edges: DataFrame, low: DataFrame, hubs: bool) -> DataFrame:
-    """``edges(a, b)`` with m of the one row of ``low(a, m, n)`` for each a, where n is the number of its edges. Nodes of more than 65,536
-    edges are broadcast (at most one for each 65,536 edges there are), so a hub's edges never meet in one task; the others are
-    joined by equality."""
-    if not hubs:
+def hub_join(edges: DataFrame, low: DataFrame, count: int) -> DataFrame:
+    """``edges(a, b)`` with m of the one row of ``low(a, m, n)`` for each a, where n is the number of its edges.
+
+    Nodes of more than one in 10,000 of ``count`` edges (and of more than 256) are broadcast, so a hub's edges stay where they
+    are; the others are joined by equality. At most 20,000 rows are broadcast, however many edges there are: their numbers
+    of edges add up to twice the count at most.
+    """
+    least = max(HUB, count // MOST_HUBS)
+    if count <= least:
         return edges.join(low.select("a", "m"), "a")
-    big = low.where(F.col("n") > HUB).select("a", "m")
-    rest = edges.join(F.broadcast(big.select("a")), "a", "left_anti").join(low.where(F.col("n") <= HUB).select("a", "m"), "a")
+    big = low.where(F.col("n") > least).select("a", "m")
+    rest = edges.join(F.broadcast(big.select("a")), "a", "left_anti").join(low.where(F.col("n") <= least).select("a", "m"), "a")
     return edges.join(F.broadcast(big), "a").unionByName(rest)
 
 
@@ -124,12 +128,11 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if not before["n"]:
             break
         both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        hubs = before["n"] > HUB
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n"))
-        large = hub_join(both.where("b > a"), low, hubs).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = hub_join(both.where("b > a"), low, before["n"]).select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = stored(large.where("a <> b").distinct(), "large")
         low = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
-        small = hub_join(large, low, hubs).select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.*")
+        small = hub_join(large, low, before["n"]).select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.*")
         now = stored(small.where("a <> b").distinct(), "small")
         after = sum_of(now)
         if after == before:
