@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -75,13 +76,14 @@ def _describing(pivots, dim: int, nearest: int, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, radius = pivots.value
         k = min(nearest, len(table))
-        inner, outer = np.cos(radius) + 1e-9, np.cos(np.minimum(radius + np.arccos(least), np.pi)) - 1e-9
+        slack = 1e-5  # more than the error of a product in single precision: lists may hold more than they need, never less
+        inner, outer = (np.cos(radius) + slack).astype(np.float32), (np.cos(np.minimum(radius + np.arccos(least), np.pi)) - slack).astype(np.float32)
         for batch in batches:
             if not batch.num_rows:
                 continue
             perm, size = [], []
             for at in range(0, batch.num_rows, 1024):
-                near = _unit(_matrix(batch.slice(at, 1024).column(2), dim)) @ table.T
+                near = _unit(_matrix(batch.slice(at, 1024).column(2), dim)).astype(np.float32) @ table.T
                 listed = near >= outer
                 alone = np.flatnonzero(~(near >= inner).any(axis=1))
                 listed[alone[:, None], np.argpartition(-near[alone], k - 1, axis=1)[:, :k]] = True
@@ -155,7 +157,7 @@ def near_vectors(rows: DataFrame, least: float = LEAST, nearest: int = NEAREST)
     """vec_id, n_links, component_id, kept and embedding of each row of ``rows(vec_id, embedding)``.
 
     Equal vectors collapse first (map-side combine) and count with their number. A bounded sample of distinct vectors serves as
-    pivots (1 for about 25 vectors, 16,384 or 4 million numbers at most, taken by hash), less those inside the ball of another, so a
+    pivots (1 for about 25 vectors, growing with the square root of their number beyond 20,000 of them, 16,384 or 4 million numbers at most, taken by hash), less those inside the ball of another, so a
     dense group has few. A vector inside a ball is listed under each pivot that one of its links can have, and all its links are
     found; one in no ball is listed under its 10 nearest pivots too, and two such vectors link if they share a list. Lists are cut into blocks
     of 4 MB of numbers by hash, and each pair of blocks is a task's group, so no list meets in one task. Components are found by distributed
@@ -173,7 +175,7 @@ def near_vectors(rows: DataFrame, least: float = LEAST, nearest: int = NEAREST)
     reps = stored(reps.select(F.monotonically_increasing_id().alias("rid"), "n", F.col("embedding").alias("vec"), "vec_id"), "vectors")
     have = reps.agg(F.count("*").alias("n"), F.max(F.size("vec")).alias("dim")).first()
     if have["n"]:
-        want = int(min(MOST_PIVOTS, max(64, MOST_NUMBERS // have["dim"]), max(nearest, -(-have["n"] * nearest // LIST))))
+        want = int(min(MOST_PIVOTS, max(64, MOST_NUMBERS // have["dim"]), max(nearest, -(-have["n"] * nearest // max(LIST, math.isqrt(3 * have["n"]))))))
         odds = min(1.0, 2.0 * want / have["n"] + 50 / have["n"])
         picked = reps.where(F.pmod(F.xxhash64("vec"), F.lit(1 << 30)) <= int(odds * (1 << 30))).select(F.xxhash64("vec").alias("h"), "vec").orderBy("h").limit(want)
         chosen = [r["vec"] for r in picked.collect()]  # at most MOST_PIVOTS
@@ -182,7 +184,7 @@ def near_vectors(rows: DataFrame, least: float = LEAST, nearest: int = NEAREST)
             table[i, : len(v)] = v
         table = _unit(table)
         places, radius = _carved(table, least)
-        pivots = spark.sparkContext.broadcast((table[places], radius))
+        pivots = spark.sparkContext.broadcast((table[places].astype(np.float32), radius))
         kind = reps.schema["vec"].dataType.simpleString()
         marked = stored(reps.select("rid", "n", "vec").mapInArrow(_describing(pivots, have["dim"], nearest, least), f"rid long, n long, vec {kind}, perm array<int>"), "described")
         lists = marked.select("rid", "n", "vec", "perm", F.explode("perm").alias("pivot"))
