@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import gzip
+import hashlib
 import math
+import os
 import pickle
 import time
 import zlib
@@ -372,6 +375,70 @@ def test_null_page_ids_as_in_sql(spark, tmp_path, monkeypatch):
     assert any(f"Content-Type: application/http; msgtype=response\r\nContent-Length: {204 + len(warc.HTTP)}\r\n\r\n{warc.HTTP}<p>x" in h for h in heads)
 
 
+def _record(kind, name, block, *more):
+    return b"\r\n".join([b"WARC/1.0", b"warc-type:  " + kind, b"WARC-Record-ID: <" + name + b">", *more, b"CONTENT-LENGTH: %d" % len(block), b"", block]) + b"\r\n\r\n"
+
+
+def test_warc_archives_of_other_origin(spark, tmp_path):
+    """Framed by Content-Length: bytes that are no text, blocks that look like records, large blocks in parts, several files."""
+    http, typed = b"HTTP/1.0 200 OK\r\nX: y\r\n\r\n", b"Content-Type: application/http;msgtype=response"
+    bodies = {b"a": bytes(range(256)) * 40, b"b": b"\r\n\r\nWARC/1.0\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n" * 9, b"c": b"", b"d": b"\n" * 5000, b"e": "né\r".encode() * 3000}
+    records = [_record(b"warcinfo", b"i", b"software: x\r\n"), *[_record(b"response", k, http + v, typed) for k, v in bodies.items()], _record(b"request", b"q", b"GET / HTTP/1.0\r\n\r\n", typed),
+               _record(b"response", b"raw", b"HTTP/ in prose", b"Content-Type: text/plain")]
+    os.makedirs(tmp_path / "w")
+    (tmp_path / "w" / "one.warc").write_bytes(b"".join(records[:4]))
+    (tmp_path / "w" / "two.warc.gz").write_bytes(b"".join(gzip.compress(r) for r in records[4:]))
+    (tmp_path / "w" / "none.warc").write_bytes(b"")
+    bodies[b"raw"] = b"HTTP/ in prose"
+    want = {(f"<{k.decode()}>", len(v), hashlib.sha256(v).hexdigest(), "response") for k, v in bodies.items()}
+    for most in (warc.CHUNK, 1000):
+        got = warc.digests(warc.records(spark, f"file://{tmp_path}/w", most)).collect()
+        assert len(got) == len(want) and {(r["record_id"], r["payload_bytes"], r["payload_digest"], r["record_type"]) for r in got} == want
+    parts = warc.framed(spark, f"file://{tmp_path}/w", 1000).collect()
+    assert max(len(r["data"]) for r in parts) == 1000
+    assert sum(len(r["data"]) for r in parts) == sum(len(v) for v in bodies.values()) + 5 * len(http) + len(b"software: x\r\n") + len(b"GET / HTTP/1.0\r\n\r\n")
+
+
+def test_warc_streams_cut_at_any_place():
+    whole = _record(b"response", b"a", b"x" * 2500) + _record(b"response", b"b", b"") + _record(b"response", b"c", b"\r\n")
+    want = [(0, 1500, b"x" * 1000), (1, 500, b"x" * 1000), (2, 0, b"x" * 500), (0, 0, b""), (0, 0, b"\r\n")]
+    for step in (1, 7, 1000, 10_000):
+        frames, got = warc._Frames(1000), []
+        for at in range(0, len(whole), step):
+            got += frames.feed(whole[at : at + step])
+        got += frames.feed(b"", last=True)
+        assert [(p, rest, data) for _, p, rest, _, data in got] == want
+    frames = warc._Frames(1000)
+    got = [*frames.feed(whole[:1600]), *frames.feed(b"", last=True)]
+    assert sum(len(g[4]) for g in got) + got[-1][2] == 2500 and got[-1][2] > 0  # an early end: how much is missing
+    for bad in (b"<html>", whole[:20], b"WARC/1.0\r\nWARC-Type: x\r\n\r\n"):
+        frames = warc._Frames(1000)
+        with pytest.raises(ValueError):
+            [*frames.feed(bad), *frames.feed(b"", last=True)]
+
+
+def test_warc_is_one_gzip_member_a_record(spark, monkeypatch):
+    """Each record starts a member, so a reader can seek; chunks don't part characters; long records are several members."""
+    bodies = ["é漢😀" * 400, "p" * 50, "q" * 5000]
+    pages = spark.createDataFrame([(i, "u", b) for i, b in enumerate(bodies)], PAGES).coalesce(1)
+    table = warc.chunks(warc.originals(pages), chunk=100)
+    for r in table.collect():
+        assert len(r["data"].encode()) <= 103 and "\ufffd" not in r["data"]
+    folder = warc.archive(table).removeprefix("file://")
+    data = b"".join(open(f"{folder}/{f}", "rb").read() for f in sorted(os.listdir(folder)) if f.endswith(".warc.gz"))
+    members = 0
+    while data:
+        one = zlib.decompressobj(31)
+        text = one.decompress(data)
+        assert text.startswith(b"WARC/1.1\r\n") and one.eof
+        data, members = one.unused_data, members + 1
+    assert members == table.count() > 80
+    small = [pa.RecordBatch.from_arrays([pa.array(["r" * 1000, "", "s"])], ["value"])]
+    monkeypatch.setattr(warc, "MEMBER", 64)
+    out = [v for b in warc._members(iter(small)) for v in b.column(0).to_pylist()]
+    assert gzip.decompress(b"".join(v + b"\0" for v in out)) == b"r" * 1000 + b"s" and len(out) == 17
+
+
 # ---- 8
 
 
